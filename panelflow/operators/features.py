@@ -91,7 +91,7 @@ def gaps(df: DataFrame, s: Series, ts: str, threshold: float) -> DataFrame:
     d = scan(df, s, prev={"_pt": F.col(ts)})
     return d.withColumn(
         "dt", (F.unix_micros(ts) - F.unix_micros("_pt")) / F.lit(1e6)
-    ).withColumn("is_gap", F.col("dt") > threshold).drop("_pt")
+    ).withColumn("is_gap", F.coalesce(F.col("dt") > threshold, F.lit(False))).drop("_pt")
 
 
 def bar_gap_threshold(minutes: float) -> float:

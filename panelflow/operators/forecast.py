@@ -31,7 +31,8 @@ def forecast_frame(
         entity, year_start(year).alias("ds"), F.col(target).alias("y"), *regressors, F.lit(False).alias("is_future")
     )
     last = df.groupBy(entity).agg(F.max(year).alias("_last"))
-    future = last.select(entity, (F.col("_last") + F.explode(F.sequence(F.lit(1), F.lit(periods)))).alias("_y"))
+    ahead = F.sequence(F.col("_last") + 1, F.col("_last") + periods)
+    future = last.select(entity, F.explode(ahead).alias("_y"))
     future = future.select(entity, year_start("_y").alias("ds"), F.lit(True).alias("is_future"))
     return history.unionByName(future, allowMissingColumns=True)
 

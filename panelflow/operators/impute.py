@@ -31,7 +31,7 @@ def _anchors(w, pos: Column, value: Column) -> tuple[Column, Column, Column, Col
 
 
 def _line(pv: Column, pr: Column, nv: Column, nr: Column, pos: Column) -> Column:
-    inside = pv + (nv - pv) * F.try_divide((pos - pr).cast("double"), (nr - pr).cast("double"))
+    inside = pv + F.try_divide((nv - pv) * (pos - pr), (nr - pr).cast("double"))
     return F.coalesce(inside, pv, nv)
 
 

@@ -498,7 +498,10 @@ def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
                 df.agg(F.count(F.lit(1)).alias("r")),
                 [
                     F.struct(F.lit("").alias("column"), F.lit("rows").alias("metric"), text("r").alias("value")),
-                    F.struct(F.lit(""), F.lit("columns"), F.lit(str(len(df.columns)))),
+                    F.struct(
+                        F.lit("").alias("column"), F.lit("columns").alias("metric"),
+                        F.lit(str(len(df.columns))).alias("value"),
+                    ),
                 ],
             ),
             duplicates(df).select(

@@ -368,51 +368,62 @@ T_BIN = 0.002
 T_PARAMS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("t_df", "t_loc", "t_scale")])
 
 
+def _t_loglik(x, c, v, m, s):
+    z2 = ((x - m) / s) ** 2
+    const = math.lgamma((v + 1) / 2) - math.lgamma(v / 2) - 0.5 * math.log(v * math.pi) - math.log(s)
+    return float(c.sum() * const - (v + 1) / 2 * (c @ np.log1p(z2 / v)))
+
+
+def _t_score(x, v, m, s):
+    """Gradient per value in (loc / scale, log scale, log df)."""
+    z = (x - m) / s
+    a = z * z
+    w = (v + 1) / (v + a)
+    const = float(tails.digamma((v + 1) / 2) - tails.digamma(v / 2) - 1 / v)
+    return np.stack([w * z, w * a - 1, v / 2 * (const - np.log1p(a / v) + (v + 1) * a / (v * (v + a)))])
+
+
+T_MAX_DF = 1e4
+
+
+def fit_t_weighted(x, c):
+    """(df, loc, scale) maximising the weighted likelihood, by scoring steps with halving."""
+    x, c = np.asarray(x, float), np.asarray(c, float)
+    n = c.sum()
+    mean = float(c @ x / n) if n else 0.0
+    var = float(c @ (x - mean) ** 2 / n) if n else 0.0
+    if len(x) < 3 or not var > 0:
+        return None, None, None
+    order = np.argsort(x)
+    cum = np.cumsum(c[order])
+    q1, m, q3 = (float(x[order][np.searchsorted(cum, q * n)]) for q in (0.25, 0.5, 0.75))
+    s, v = max((q3 - q1) / 1.5, math.sqrt(var) * 1e-6), 4.0
+    best = _t_loglik(x, c, v, m, s)
+    for _ in range(200):
+        g = _t_score(x, v, m, s)
+        step = solve_step(g @ c / n, ((g * c) @ g.T / n)[np.triu_indices(3)])
+        if step is None:
+            break
+        step = step / max(1.0, float(np.abs(step).max()))
+        for _ in range(30):
+            trial = (min(v * math.exp(step[2]), T_MAX_DF), m + s * step[0], s * math.exp(step[1]))
+            value = _t_loglik(x, c, *trial)
+            if value >= best:
+                break
+            step = step / 2
+        else:
+            break
+        gain, best, (v, m, s) = value - best, value, trial
+        if gain < 1e-12 * n or v >= T_MAX_DF:
+            break
+    return v, m, s
+
+
 @F.pandas_udf(T_PARAMS)
 def _fit_t_binned(centers: pd.Series, counts: pd.Series) -> pd.DataFrame:
-    """EM on binned values; bins carry their own mean, so the start is close to the optimum."""
-    rows = []
-    for x, c in zip(centers, counts, strict=True):
-        x, c = np.asarray(x, float), np.asarray(c, float)
-        n = c.sum()
-        mu = float(np.average(x, weights=c))
-        var = float(np.average((x - mu) ** 2, weights=c))
-        if len(x) < 3 or not var > 0:
-            rows.append((None, None, None))
-            continue
-        order = np.argsort(x)
-        cum = np.cumsum(c[order])
-        q1, mu, q3 = (float(x[order][np.searchsorted(cum, q * n)]) for q in (0.25, 0.5, 0.75))
-        s2, nu = max(((q3 - q1) / 1.35) ** 2, var * 1e-12), 5.0
-        for _ in range(400):
-            u = (nu + 1) / (nu + (x - mu) ** 2 / s2)
-            cu = c * u
-            mu_new = float(cu @ x / cu.sum())
-            s2_new = float(cu @ (x - mu_new) ** 2 / cu.sum())  # parameter-expanded step
-            # nu maximises the likelihood at the new location and scale (ECME).
-            z2 = (x - mu_new) ** 2 / s2_new
-
-            def score(v):
-                w = (v + 1) / (v + z2)
-                mean = float(c @ (np.log(w) - w) / n)
-                return 1 + mean + float(
-                    tails.digamma((v + 1) / 2) - math.log((v + 1) / 2) - tails.digamma(v / 2) + math.log(v / 2)
-                )
-
-            lo, hi = 0.05, 1e4
-            if score(hi) > 0:
-                nu_new = hi
-            else:
-                for _ in range(50):
-                    half = math.sqrt(lo * hi)
-                    lo, hi = (half, hi) if score(half) > 0 else (lo, half)
-                nu_new = math.sqrt(lo * hi)
-            done = abs(mu_new - mu) < 1e-12 * math.sqrt(s2_new) and abs(nu_new / nu - 1) < 1e-10 and abs(s2_new / s2 - 1) < 1e-10
-            mu, s2, nu = mu_new, s2_new, nu_new
-            if done:
-                break
-        rows.append((nu, mu, math.sqrt(s2)))
-    return pd.DataFrame(rows, columns=["t_df", "t_loc", "t_scale"])
+    """Bins carry their own mean and count, so the start is close to the optimum."""
+    rows = [fit_t_weighted(x, c) for x, c in zip(centers, counts, strict=True)]
+    return pd.DataFrame(rows, columns=T_PARAMS.names)
 
 
 @F.pandas_udf(T_PARAMS)

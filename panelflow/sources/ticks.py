@@ -96,9 +96,10 @@ def append_merge(spark: SparkSession, new: DataFrame, path: str, keep: str = "fi
         old = spark.read.parquet(path).join(touched, ["instrument", "date"], "left_semi")
         merged = old.unionByName(new, allowMissingColumns=True)
     staging = scratch_path(spark, "tick-merge")
-    unique_ticks(merged, keep).hint("rebalance", "instrument", "date").write.partitionBy("instrument", "date").parquet(staging)
+    unique_ticks(merged, keep).write.parquet(staging)
     (
         spark.read.parquet(staging)
+        .hint("rebalance", "instrument", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("instrument", "date")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelflow.operators import clean, forecast, ml, profile, regression, stattests
-from panelflow.session import scratch_path
+from panelflow.session import materialised, scratch_path
 from panelflow.streaming import ticks as tick_stream
 from panelflow.streaming.changes import ChangeStream
 from panelflow.suite.registry import (
@@ -303,8 +303,7 @@ FEATURES = ["v_lag1", "v_diff_lag1", "n_lag1", "n_diff_lag1"]
 
 
 def model_frame(t):
-    d = flagship(t)
-    return clean.year_split(d, "yr", 1999)
+    return materialised(clean.year_split(flagship(t), "yr", 1999), "model-frame")
 
 
 def _settings():
@@ -320,7 +319,7 @@ def m02(t):
 
 @case("m03_baselines")
 def m03(t):
-    d = clean.seeded_split(flagship(t), ["entity", "yr"])
+    d = materialised(clean.seeded_split(flagship(t), ["entity", "yr"]), "split")
     return rounded(ml.baselines(d, FEATURES, "v_diff", trees=40, maxDepth=8), 4)
 
 

@@ -32,10 +32,10 @@ class Tables:
         return self._seen[name]
 
     def obs(self) -> DataFrame:
-        """Customer x year observations."""
+        """Customer x year observations; money in whole cents, so that sums are exact."""
         return self.orders.groupBy(
             F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("yr")
-        ).agg(F.sum("o_totalprice").alias("v"), F.count(F.lit(1)).alias("n"))
+        ).agg(F.round(F.sum("o_totalprice"), 2).alias("v"), F.count(F.lit(1)).alias("n"))
 
     def panel(self) -> DataFrame:
         """The same on the full customer x year grid, with NULL in absent cells."""
@@ -84,7 +84,7 @@ TICKS = Series(("instrument",), ("ts", "event_id"), plan="blocks")
 GAP = 3600.0
 
 SQL_OBS = """obs as (
-  select o_custkey entity, cast(year(o_orderdate) as int) yr, sum(o_totalprice) v, count(*) n
+  select o_custkey entity, cast(year(o_orderdate) as int) yr, round(sum(o_totalprice), 2) v, count(*) n
   from orders group by 1, 2)"""
 SQL_PANEL = (
     SQL_OBS

@@ -80,10 +80,10 @@ def _interp_sql(col: str, source: str, name: str) -> str:
 @case(
     "w06_interpolate",
     f"""with {SQL_PANEL}, {_interp_sql('v', 'panel', 'x')}
-    select entity, yr, round(case when x_known >= 2 then x_fill else v end, 4) v from x""",
+    select entity, yr, round(case when x_known >= 2 then x_fill else v end, 6) v from x""",
 )
 def w06(t):
-    return rounded(impute.interpolate(t.panel().drop("n"), PANEL, ["v"]), 4)
+    return rounded(impute.interpolate(t.panel().drop("n"), PANEL, ["v"]), 6)
 
 
 SQL_IMPUTE = f"""with {SQL_SPARSE}, wide as (
@@ -103,24 +103,24 @@ def wide_panel(t):
 @case(
     "w07_impute",
     SQL_IMPUTE
-    + """ select * from (select entity, yr, round(a_fill, 4) v, round(b_fill, 4) m, round(coalesce(c_fill, 0), 4) z,
-      round(case when d_known >= 2 then d_fill else o end, 4) o from d)
+    + """ select * from (select entity, yr, round(a_fill, 6) v, round(b_fill, 6) m, round(coalesce(c_fill, 0), 6) z,
+      round(case when d_known >= 2 then d_fill else o end, 6) o from d)
       where o is not null and v is not null and m is not null""",
 )
 def w07(t):
     d = impute.impute(wide_panel(t), PANEL, critical=["v", "m"], zero_fill=["z"], untouched=[])
-    return rounded(d.select("entity", "yr", "v", "m", "z", "o"), 4)
+    return rounded(d.select("entity", "yr", "v", "m", "z", "o"), 6)
 
 
 @case(
     "w07_impute_drop",
     SQL_IMPUTE
-    + """ select * from (select entity, yr, round(a_fill, 4) v, round(b_fill, 4) m, round(coalesce(c_fill, 0), 4) z,
-      round(o, 4) o from d) where o is not null and v is not null and m is not null""",
+    + """ select * from (select entity, yr, round(a_fill, 6) v, round(b_fill, 6) m, round(coalesce(c_fill, 0), 6) z,
+      round(o, 6) o from d) where o is not null and v is not null and m is not null""",
 )
 def w07d(t):
     d = impute.impute(wide_panel(t), PANEL, method="drop", critical=["v", "m"], zero_fill=["z"], untouched=[])
-    return rounded(d.select("entity", "yr", "v", "m", "z", "o"), 4)
+    return rounded(d.select("entity", "yr", "v", "m", "z", "o"), 6)
 
 
 def flagship(t):
@@ -137,15 +137,15 @@ def flagship(t):
       from panel window w as (partition by entity order by yr)),
     {_interp_sql('v', 'f0', 'a')}, {_interp_sql('v_lag1', 'a', 'b')}, {_interp_sql('v_diff', 'b', 'c')},
     {_interp_sql('v_diff_lag1', 'c', 'd')}
-    select * from (select entity, yr, round(a_fill, 4) v,
-      round(case when b_known >= 2 then b_fill else v_lag1 end, 4) v_lag1,
-      round(case when c_known >= 2 then c_fill else v_diff end, 4) v_diff,
-      round(case when d_known >= 2 then d_fill else v_diff_lag1 end, 4) v_diff_lag1 from d)
+    select * from (select entity, yr, round(a_fill, 6) v,
+      round(case when b_known >= 2 then b_fill else v_lag1 end, 6) v_lag1,
+      round(case when c_known >= 2 then c_fill else v_diff end, 6) v_diff,
+      round(case when d_known >= 2 then d_fill else v_diff_lag1 end, 6) v_diff_lag1 from d)
     where v is not null and v_lag1 is not null and v_diff is not null and v_diff_lag1 is not null""",
 )
 def panel_features(t):
     d = flagship(t)
-    return rounded(d.select("entity", "yr", "v", "v_lag1", "v_diff", "v_diff_lag1"), 4)
+    return rounded(d.select("entity", "yr", "v", "v_lag1", "v_diff", "v_diff_lag1"), 6)
 
 
 # --- ticks ---------------------------------------------------------------------------
@@ -154,7 +154,7 @@ def panel_features(t):
     "w08_gaps",
     f"""with {SQL_TICKS}, d as (
       select event_id, (epoch_us(ts) - lag(epoch_us(ts)) over (partition by instrument order by ts, event_id)) / 1e6 dt from ticks)
-    select event_id, round(dt, 6) dt, dt > 3600 is_gap from d""",
+    select event_id, round(dt, 6) dt, coalesce(dt > 3600, false) is_gap from d""",
 )
 def w08(t):
     d = features.gaps(t.ticks().select("event_id", "ts", "instrument"), TICKS, "ts", GAP)
