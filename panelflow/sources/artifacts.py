@@ -26,10 +26,12 @@ def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
         F.col("length").alias("size_bytes"),
         "content",
     )
+    # Text that is not valid UTF-8 keeps its bytes instead of failing the other files.
+    text = F.when(F.col("file_type") == "text", F.try_validate_utf8(F.col("content").cast("string")))
     return d.select(
         "file_path", "file_name", "file_type", "size_bytes",
-        F.when(F.col("file_type") == "text", F.decode("content", F.lit("UTF-8"))).alias("content"),
-        F.when(F.col("file_type") == "image", F.col("content")).alias("binary"),
+        text.alias("content"),
+        F.when(text.isNull(), F.col("content")).alias("binary"),
         F.current_timestamp().alias("created_at"),
     )
 
