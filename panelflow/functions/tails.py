@@ -146,3 +146,8 @@ def chi2_pvalue(x: pd.Series, df: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def adf_pvalue(t: pd.Series) -> pd.Series:
     return _series(adf_p(t.astype(float)))
+
+
+@F.pandas_udf(T.DoubleType())
+def normal_two_sided(z: pd.Series) -> pd.Series:
+    return _series(2 * normal_cdf(-z.astype(float).abs()))

@@ -61,15 +61,17 @@ def lag_family(df: DataFrame, s: Series, columns: Sequence[str], ks: Sequence[in
     """Lags, differences and lagged differences of all columns in one window pass."""
     columns = _known(df, columns)
 
-    def stage(w):
-        out: dict[str, Column] = {}
-        for c in columns:
-            out |= {f"{c}_lag{k}": F.lag(c, k).over(w) for k in ks}
-            out[f"{c}_diff"] = F.col(c) - F.lag(c, 1).over(w)
-            out[f"{c}_diff_lag1"] = F.lag(c, 1).over(w) - F.lag(c, 2).over(w)
-        return out
+    def back_values(w):
+        return {f"_b{k}_{c}": F.lag(c, k).over(w) for c in columns for k in {1, 2, *ks}}
 
-    return public(frames(df, s, stage, back=max(2, *ks)))
+    d = frames(df, s, back_values, back=max(2, *ks))
+    out: dict[str, Column] = {}
+    for c in columns:
+        out |= {f"{c}_lag{k}": F.col(f"_b{k}_{c}") for k in ks}
+        out[f"{c}_diff"] = F.col(c) - F.col(f"_b1_{c}")
+        out[f"{c}_diff_lag1"] = F.col(f"_b1_{c}") - F.col(f"_b2_{c}")
+    d = d.withColumns(out).drop(*[f"_b{k}_{c}" for c in columns for k in {1, 2, *ks}])
+    return public(d)
 
 
 def log_columns(df: DataFrame, columns: Sequence[str], epsilon: float = 1e-6) -> DataFrame:
@@ -121,22 +123,26 @@ def log_returns(
     return d
 
 
-def rolling_stage(value: str, n: int):
-    def stage(w):
-        v = F.abs(F.col(value))
-        frame = w.rowsBetween(-(n - 1), 0)
-        full = F.count(v).over(frame) == n
+def rolling_stages(value: str, n: int):
+    """Two stages: the frame aggregates, then NULL where the frame was not full."""
+
+    def sums(w):
+        v, frame = F.abs(F.col(value)), w.rowsBetween(-(n - 1), 0)
         return {
-            "volatility": F.when(full, F.stddev_samp(v).over(frame)),
-            "activity": F.when(full, F.avg(v).over(frame)),
+            "_full": F.count(v).over(frame) == n,
+            "volatility": F.stddev_samp(v).over(frame),
+            "activity": F.avg(v).over(frame),
         }
 
-    return stage
+    def masked(_):
+        return {c: F.when(F.col("_full"), F.col(c)) for c in ("volatility", "activity")}
+
+    return sums, masked
 
 
 def rolling_features(df: DataFrame, s: Series, value: str = "log_return", n: int = 20) -> DataFrame:
     """Volatility (sample std) and activity (mean) of |value|, full windows only."""
-    return frames(df, s, rolling_stage(value, n), back=n - 1)
+    return frames(df, s, *rolling_stages(value, n), back=n - 1).drop("_full")
 
 
 def sequence_samples(
@@ -184,10 +190,10 @@ def tick_samples(
         }
 
     d = frames(
-        d, s, rolling_stage("log_return", vol_window), samples,
+        d, s, *rolling_stages("log_return", vol_window), samples,
         back=window + vol_window - 2, ahead=horizon,
     )
-    return d.where((F.size("x") == window) & F.col("y").isNotNull())
+    return d.where((F.size("x") == window) & F.col("y").isNotNull()).drop("_full")
 
 
 def require_samples(samples: DataFrame) -> DataFrame:

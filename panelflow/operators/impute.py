@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from panelflow.operators.clean import drop_all_missing, drop_missing, numeric_columns
-from panelflow.plans.series import Series, positions, public
+from panelflow.plans.series import Series, positions
 
 # The variable classes of the panel.
 CRITICAL = ("emissions", "gdp", "energy_use", "population")
@@ -17,28 +17,46 @@ ZERO_FILL = ("renewable_pct",)
 UNTOUCHED = ("mean_temp",)
 
 
-def _anchors(w, pos: Column, value: Column) -> tuple[Column, Column, Column, Column]:
-    """Value and position of the nearest known neighbours on both sides."""
+def _anchors(w, pos: str, columns: Sequence[str]) -> dict[str, Column]:
+    """Value and position of the nearest known neighbours on both sides, per column.
+
+    They become columns of their own: a window expression written twice runs twice.
+    """
     past = w.rowsBetween(W.unboundedPreceding, 0)
     future = w.rowsBetween(0, W.unboundedFollowing)
-    at = F.when(value.isNotNull(), pos)
-    return (
-        F.last(value, ignorenulls=True).over(past),
-        F.last(at, ignorenulls=True).over(past),
-        F.first(value, ignorenulls=True).over(future),
-        F.first(at, ignorenulls=True).over(future),
-    )
+    out = {}
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        at = F.when(v.isNotNull(), F.col(pos))
+        out[f"_pv{i}"] = F.last(v, ignorenulls=True).over(past)
+        out[f"_pr{i}"] = F.last(at, ignorenulls=True).over(past)
+        out[f"_nv{i}"] = F.first(v, ignorenulls=True).over(future)
+        out[f"_nr{i}"] = F.first(at, ignorenulls=True).over(future)
+    return out
+
+
+def _drop_anchors(df: DataFrame, n: int) -> DataFrame:
+    return df.drop(*[f"_{k}{i}" for i in range(n) for k in ("pv", "pr", "nv", "nr", "n")])
 
 
 def _line(pv: Column, pr: Column, nv: Column, nr: Column, pos: Column) -> Column:
+    """Linear between known neighbours; edge gaps take the nearest known value."""
     inside = pv + F.try_divide((nv - pv) * (pos - pr), (nr - pr).cast("double"))
     return F.coalesce(inside, pv, nv)
 
 
-def interpolated(w, pos: Column, value: str) -> Column:
-    """Linear between known neighbours; edge gaps take the nearest known value."""
-    v = F.col(value).cast("double")
-    return F.coalesce(v, _line(*_anchors(w, pos, v), pos))
+def _anchored(df: DataFrame, s: Series, columns: Sequence[str]) -> DataFrame:
+    """Entity plan: row number, anchors and known-value count of each column."""
+    w = s.window()
+    d = df.withColumn("_row", F.row_number().over(w))
+    d = d.withColumns(_anchors(w, "_row", columns))
+    whole = W.partitionBy(*s.keys)
+    return d.withColumns({f"_n{i}": F.count(c).over(whole) for i, c in enumerate(columns)})
+
+
+def _filled(i: int, c: str) -> Column:
+    line = _line(*[F.col(f"_{k}{i}") for k in ("pv", "pr", "nv", "nr")], F.col("_row"))
+    return F.coalesce(F.col(c).cast("double"), line)
 
 
 def impute(
@@ -70,21 +88,18 @@ def impute(
     entity = s.keys[0]
     known = [c for c in numeric_columns(df) if c not in (*s.keys, *s.order, *untouched)]
     d = drop_all_missing(df, entity, critical)
-    w = s.window()
-    whole = W.partitionBy(*s.keys)
-    pos = F.row_number().over(w)
-    d = d.withColumn("_row", pos)
-    filled = {}
-    for c in known:
-        line = interpolated(w, F.col("_row"), c)
-        count = F.count(c).over(whole)
-        if c in zero_fill:
-            filled[c] = F.coalesce(line, F.lit(0.0))
-        elif c in critical:
-            filled[c] = line
-        elif method == "interpolate":
-            filled[c] = F.when(count >= 2, line).otherwise(F.col(c).cast("double"))
-    d = d.withColumns(filled).drop("_row") if filled else d.drop("_row")
+    open_ = [c for c in known if method == "interpolate" or c in zero_fill or c in critical]
+    if open_:
+        d = _anchored(d, s, open_)
+        filled = {}
+        for i, c in enumerate(open_):
+            if c in zero_fill:
+                filled[c] = F.coalesce(_filled(i, c), F.lit(0.0))
+            elif c in critical:
+                filled[c] = _filled(i, c)
+            else:
+                filled[c] = F.when(F.col(f"_n{i}") >= 2, _filled(i, c)).otherwise(F.col(c).cast("double"))
+        d = _drop_anchors(d.withColumns(filled), len(open_)).drop("_row")
     if drop_rest:
         d = drop_missing(d, [c for c in df.columns if c not in untouched])
     return d
@@ -94,17 +109,14 @@ def interpolate(df: DataFrame, s: Series, columns: Sequence[str]) -> DataFrame:
     """Interpolate columns of keys that have at least two known values."""
     if s.plan == "blocks":
         return _interpolate_long(df, s, columns)
-    w, whole = s.window(), W.partitionBy(*s.keys)
-    d = df.withColumn("_row", F.row_number().over(w))
+    d = _anchored(df, s, columns)
     d = d.withColumns(
         {
-            c: F.when(F.count(c).over(whole) >= 2, interpolated(w, F.col("_row"), c)).otherwise(
-                F.col(c).cast("double")
-            )
-            for c in columns
+            c: F.when(F.col(f"_n{i}") >= 2, _filled(i, c)).otherwise(F.col(c).cast("double"))
+            for i, c in enumerate(columns)
         }
     )
-    return d.drop("_row")
+    return _drop_anchors(d, len(columns)).drop("_row")
 
 
 def _interpolate_long(df: DataFrame, s: Series, columns: Sequence[str]) -> DataFrame:
@@ -135,28 +147,21 @@ def _interpolate_long(df: DataFrame, s: Series, columns: Sequence[str]) -> DataF
             for i in range(len(columns))
             for e in (
                 F.sum(f"_n{i}").over(whole).alias(f"_n{i}"),
-                F.last(f"_lv{i}", ignorenulls=True).over(before).alias(f"_pv{i}"),
-                F.last(f"_lr{i}", ignorenulls=True).over(before).alias(f"_pr{i}"),
-                F.first(f"_fv{i}", ignorenulls=True).over(after).alias(f"_nv{i}"),
-                F.first(f"_fr{i}", ignorenulls=True).over(after).alias(f"_nr{i}"),
+                F.last(f"_lv{i}", ignorenulls=True).over(before).alias(f"_bpv{i}"),
+                F.last(f"_lr{i}", ignorenulls=True).over(before).alias(f"_bpr{i}"),
+                F.first(f"_fv{i}", ignorenulls=True).over(after).alias(f"_bnv{i}"),
+                F.first(f"_fr{i}", ignorenulls=True).over(after).alias(f"_bnr{i}"),
             )
         ],
     )
     d = d.join(carry, group)
-    w = W.partitionBy(*group).orderBy("_pos")
+    d = d.withColumns(_anchors(W.partitionBy(*group).orderBy("_pos"), "_pos", columns))
     out = {}
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
-        pv, pr, nv, nr = _anchors(w, F.col("_pos"), v)
-        line = _line(
-            F.coalesce(pv, F.col(f"_pv{i}")),
-            F.coalesce(pr, F.col(f"_pr{i}")),
-            F.coalesce(nv, F.col(f"_nv{i}")),
-            F.coalesce(nr, F.col(f"_nr{i}")),
-            F.col("_pos"),
-        )
-        out[c] = F.when(F.col(f"_n{i}") >= 2, F.coalesce(v, line)).otherwise(v)
-    return public(d.withColumns(out).select(*df.columns))
+        near = [F.coalesce(f"_{k}{i}", f"_b{k}{i}") for k in ("pv", "pr", "nv", "nr")]
+        out[c] = F.when(F.col(f"_n{i}") >= 2, F.coalesce(v, _line(*near, F.col("_pos")))).otherwise(v)
+    return d.withColumns(out).select(*df.columns)
 
 
 def fill_forward_back(df: DataFrame, s: Series, columns: Sequence[str], max_gap: int = 3) -> DataFrame:

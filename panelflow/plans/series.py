@@ -195,7 +195,9 @@ def scan(
         per_key = df.groupBy(*s.keys).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
         out = out.join(per_key, list(s.keys))
     w = W.partitionBy(*group).orderBy(*s.order)
-    first = F.row_number().over(w) == 1
+    if prev:
+        out = out.withColumn("_first", F.row_number().over(w) == 1)
+    first = F.col("_first")
     return out.select(
         *df.columns,
         *[

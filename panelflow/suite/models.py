@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflow.operators import clean, forecast, ml, profile, regression, stattests
+from panelflow.operators import clean, forecast, ml, paneltests, profile, regression, stattests
 from panelflow.session import materialised, scratch_path
 from panelflow.streaming import ticks as tick_stream
 from panelflow.streaming.changes import ChangeStream
@@ -277,6 +277,57 @@ def d15(t):
     return rounded(profile.metric_report(wide, metrics, KEY))
 
 
+# --- declared panel tests ------------------------------------------------------------
+
+@case(
+    "c06_kpss",
+    f"""with {SQL_DENSE}, e as (select *, y - avg(y) over (partition by nation) e from dense),
+    l as (select *, sum(e) over w c, lag(e, 1) over w l1, lag(e, 2) over w l2, lag(e, 3) over w l3, lag(e, 4) over w l4
+      from e window w as (partition by nation order by ym))
+    select nation, count(*) n, round(sum(c * c) / count(*) / (sum(e * e) + 2 * (0.8 * sum(e * l1) + 0.6 * sum(e * l2)
+      + 0.4 * sum(e * l3) + 0.2 * sum(e * l4))), 6) kpss_stat from l group by 1""",
+)
+def c06k(t):
+    return rounded(paneltests.kpss(t.dense(), DENSE, "y").select("nation", "n", "kpss_stat"))
+
+
+@case(
+    "c06_chow",
+    f"""with {SQL_DENSE}, s as (
+      select nation, 'all' part, count(*) n, count(*) * (var_pop(y) - power(covar_pop(x1, y), 2) / var_pop(x1)) sse from dense group by 1
+      union all select nation, (ym >= date '1998-06-01')::varchar, count(*), count(*) * (var_pop(y) - power(covar_pop(x1, y), 2) / var_pop(x1))
+      from dense group by 1, 2)
+    select nation, max(n) n, round(((max(sse) filter (part = 'all') - sum(sse) filter (part <> 'all')) / 2)
+      / (sum(sse) filter (part <> 'all') / (max(n) - 4)), 4) chow_f from s group by 1""",
+)
+def c06c(t):
+    import datetime as dt
+
+    d = paneltests.chow(t.dense(), ["nation"], "y", ["x1"], "ym", dt.date(1998, 6, 1))
+    return rounded(d.select("nation", "n", "chow_f"), 4)
+
+
+@case("c06_white")
+def c06w(t):
+    return rounded(paneltests.white(t.dense(), ["nation"], "y", ["x1", "x2"]))
+
+
+@case(
+    "c06_pesaran_cd",
+    """with p as (select c_nationkey nation, year(o_orderdate) yr, round(sum(o_totalprice), 2) y
+      from orders join customer on o_custkey = c_custkey group by 1, 2),
+    r as (select a.nation, b.nation other, corr(a.y, b.y) r from p a join p b on a.yr = b.yr and a.nation < b.nation group by 1, 2)
+    select (select count(distinct nation) from p) entities, (select count(distinct yr) from p) periods,
+      round(sqrt(2.0 * (select count(distinct yr) from p) / (25 * 24)) * sum(r), 6) cd_stat from r""",
+)
+def c06p(t):
+    j = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    d = j.groupBy(F.col("c_nationkey").alias("nation"), F.year("o_orderdate").alias("yr")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("y")
+    )
+    return rounded(paneltests.pesaran_cd(d, "nation", "yr", "y").select("entities", "periods", "cd_stat"))
+
+
 # --- models --------------------------------------------------------------------------
 
 @case(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelflow.functions import tails
 from panelflow.functions.scalars import chi2_tail_even
-from panelflow.operators import profile, regression, stattests
+from panelflow.operators import paneltests, profile, regression, stattests
 from panelflow.plans.series import Series
 
 S = Series(("k",), ("t",))
@@ -257,3 +257,53 @@ def test_summary_and_scores(spark):
     assert q["avg_r2"] == pytest.approx(0.5) and q["median_r2"] == pytest.approx(0.4) and q["r2_below_05"] == 2
     worst = [(v["country"], v["issue_score"]) for v in profile.worst_entities(d, "country").collect()]
     assert worst == [("a", 3), ("c", 2), ("d", 1), ("b", 0)]
+
+
+def test_white_and_chow(spark):
+    r = rng(20)
+    n = 100
+    x1, x2 = r.normal(size=n), r.normal(size=n)
+    y = 1 + x1 + np.where(np.arange(n) >= 50, 2, 0) * x2 + r.normal(size=n) * (1 + x1**2)
+    d = spark.createDataFrame(pd.DataFrame({"k": "a", "t": range(n), "y": y, "x1": x1, "x2": x2}))
+
+    def sse(rows, cols, target):
+        X = np.column_stack([np.ones(len(rows)), *[c[rows] for c in cols]])
+        e = target[rows] - X @ np.linalg.lstsq(X, target[rows], rcond=None)[0]
+        return e @ e, e
+
+    every = np.arange(n)
+    whole, e = sse(every, [x1, x2], y)
+    two = sse(every[:50], [x1, x2], y)[0] + sse(every[50:], [x1, x2], y)[0]
+    q = paneltests.chow(d, ["k"], "y", ["x1", "x2"], "t", 50).first()
+    assert q["chow_f"] == pytest.approx((whole - two) / 3 / (two / (n - 6)), rel=1e-7) and q["chow_pvalue"] < 0.01
+    e2 = e * e
+    rest = sse(every, [x1, x2, x1 * x1, x1 * x2, x2 * x2], e2)[0]
+    lm = n * (1 - rest / ((e2 - e2.mean()) @ (e2 - e2.mean())))
+    q = paneltests.white(d, ["k"], "y", ["x1", "x2"]).first()
+    assert q["white_lm"] == pytest.approx(lm, rel=1e-7)
+    assert q["white_pvalue"] == pytest.approx(tails.chi2_upper([lm], [5])[0])
+
+
+@pytest.mark.parametrize("series", [S, LONG])
+def test_kpss(spark, series):
+    r = rng(21)
+    data = {"noise": r.normal(size=200), "walk": np.cumsum(r.normal(size=200)), "flat": np.ones(9)}
+    got = {v["k"]: v for v in paneltests.kpss(frame(spark, **data), series, "x").collect()}
+    for k in ("noise", "walk"):
+        e = data[k] - data[k].mean()
+        s2 = e @ e + 2 * sum((1 - j / 5) * (e[j:] @ e[:-j]) for j in range(1, 5))
+        assert got[k]["kpss_stat"] == pytest.approx((np.cumsum(e) ** 2).sum() / 200 / s2)
+    assert got["noise"]["is_stationary"] and not got["walk"]["is_stationary"]
+    assert got["walk"]["kpss_pvalue"] == 0.01 and got["flat"]["kpss_stat"] is None
+
+
+def test_pesaran_cd_needs_no_pairs(spark):
+    r = rng(22)
+    common = r.normal(size=12)
+    data = {f"e{i}": common + r.normal(size=12) for i in range(6)}
+    d = frame(spark, **data)
+    q = paneltests.pesaran_cd(d, "k", "t", "x").first()
+    c = np.corrcoef(np.array(list(data.values())))
+    want = math.sqrt(2 * 12 / 30) * c[np.triu_indices(6, 1)].sum()
+    assert q["cd_stat"] == pytest.approx(want) and q["cd_pvalue"] < 0.01
+    assert paneltests.pesaran_cd(d.where("not (k = 'e1' and t = 3)"), "k", "t", "x").first()["cd_stat"] is None
