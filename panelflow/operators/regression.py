@@ -58,16 +58,16 @@ def _full(flat: np.ndarray, k: int) -> np.ndarray:
     return s + s.T - np.diag(np.diag(s))
 
 
-def solve_centred(flat, xy, k: int, use: int | None = None, ridge: float = 0.0):
+def solve_centred(flat, xy, k: int, ridge: float = 0.0):
+    return solve_system(_full(np.asarray(flat, float), k), np.asarray(xy, float), ridge)
+
+
+def solve_system(s: np.ndarray, b: np.ndarray, ridge: float = 0.0):
     """Slope vector of a centred system, or None when it is singular.
 
     The system is brought to correlation scale first; ``ridge`` is added on that scale.
     """
-    m = k if use is None else use
-    if m == 0:
-        return np.zeros(0)
-    s = _full(np.asarray(flat, float), k)[:m, :m]
-    b = np.asarray(xy, float)[:m]
+    m = len(b)
     scale = np.sqrt(np.maximum(np.diag(s), 0.0))
     if not np.all(np.isfinite(s)) or (np.any(scale <= 0) and not ridge):
         return None

@@ -16,7 +16,7 @@ from panelflow.functions import tails
 from panelflow.functions.scalars import chi2_tail_even, label_below
 from panelflow.operators.clean import sample_per_key
 from panelflow.operators.profile import trend_label
-from panelflow.operators.regression import _full, fit_moments, moments, ols, residuals, solve_centred
+from panelflow.operators.regression import _full, fit_moments, moments, ols, residuals, solve_system
 from panelflow.plans.series import BUCKET, POS, Series, frames, positions, scan
 
 
@@ -47,86 +47,151 @@ def breusch_pagan(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str])
     )
 
 
-def default_max_lag(n: Column) -> Column:
-    """ceil(12 (n/100)^(1/4)), at most n/2 - 2."""
-    return F.least(F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / 2) - 2).cast("int")
-
-
-@F.pandas_udf(T.IntegerType())
-def _best_lag(n: pd.Series, yv: pd.Series, xy: pd.Series, xx: pd.Series, pmax: pd.Series) -> pd.Series:
-    """Lag order with the least AIC; every order is a leading block of one moment matrix."""
-    out = []
-    for cnt, var, b, flat, top in zip(n, yv, xy, xx, pmax, strict=True):
-        k, best = len(b), (math.inf, None)
-        s, b = _full(np.asarray(flat, float), k), np.asarray(b, float)
-        for p in range(int(top) + 1):
-            m = p + 1
-            beta = solve_centred(flat, b, k, use=m) if cnt > m else None
-            if beta is None:
-                continue
-            rss = var - 2 * beta @ b[:m] + beta @ s[:m, :m] @ beta
-            aic = cnt * math.log(rss) + 2 * (m + 1) if rss > 0 else -math.inf
-            best = min(best, (aic, p))
-        out.append(best[1])
-    return pd.Series(out, dtype="Int32")
+class _LagSums:
+    """Moments of the unit-root regression of one key for any first row and lag order.
 
+    Over all rows, with absent steps counted as zero, the cross products of lagged steps
+    form a Toeplitz matrix of the lag sums. Taking away the few rows before the first used
+    row and after the last one leaves the exact sums, so every lag order and both samples
+    come from one pass over the data.
+    """
 
-@F.pandas_udf(T.DoubleType())
-def _level_t(n: pd.Series, yv: pd.Series, xy: pd.Series, xx: pd.Series, lag: pd.Series) -> pd.Series:
-    """t ratio of the lagged level in the chosen regression."""
-    out = []
-    for cnt, var, b, flat, p in zip(n, yv, xy, xx, lag, strict=True):
-        k, m = len(b), int(p) + 1
-        b, s = np.asarray(b, float)[:m], _full(np.asarray(flat, float), k)[:m, :m]
-        beta = solve_centred(flat, b, k, use=m) if cnt > m + 1 else None
+    def __init__(self, n, x_sum, x_sq, steps, level, head, tail):
+        self.n, self.x_sum, self.x_sq = int(n), float(x_sum), float(x_sq)
+        self.steps, self.level = np.asarray(steps, float), np.asarray(level, float)
+        self.head, self.tail = np.asarray(head, float), np.asarray(tail, float)
+
+    def _lagged(self, first: int, last: int, p: int) -> np.ndarray:
+        """Rows ``first..last`` of (d_t, .., d_{t-p}), zero where a step does not exist."""
+        edge = self.head if last < len(self.head) else self.tail
+        offset = 0 if edge is self.head else self.n - len(self.tail)
+        t = np.arange(first, last + 1)[:, None] - np.arange(p + 1)[None, :]
+        real = (t >= 1) & (t <= self.n - 1)
+        i = np.where(real, t - offset, 1)
+        return np.where(real, edge[i] - edge[i - 1], 0.0)
+
+    def centred(self, p: int, first: int):
+        """(rows, covariance of (step, level, lagged steps)) for rows first..n-1."""
+        m = self.n - first
+        early, late = self._lagged(1, first - 1, p), self._lagged(self.n, self.n - 1 + p, p)
+        k = np.abs(np.subtract.outer(np.arange(p + 1), np.arange(p + 1)))
+        cross = self.steps[k] - early.T @ early - late.T @ late
+        x0 = self.head[: first - 1]
+        with_level = self.level[: p + 1] - x0 @ early
+        last = self.tail[-1]
+        total = np.empty((p + 2, p + 2))
+        rest = [0, *range(2, p + 2)]
+        total[np.ix_(rest, rest)] = cross
+        total[1, rest] = total[rest, 1] = with_level
+        total[1, 1] = self.x_sq - last**2 - x0 @ x0
+        sums = np.empty(p + 2)
+        j = np.arange(p + 1)
+        sums[rest] = self.tail[-1 - j] - self.head[first - 1 - j]
+        sums[1] = self.x_sum - last - x0.sum()
+        mean = sums / m
+        return m, total / m - np.outer(mean, mean)
+
+
+def _unit_root(sums: _LagSums, top: int):
+    """(lag, rows used, t ratio of the level) with the lag order of least AIC."""
+    m, c = sums.centred(top, top + 1)
+    best = (math.inf, None)
+    for p in range(top + 1):
+        s, b = c[1 : p + 2, 1 : p + 2], c[1 : p + 2, 0]
+        beta = solve_system(s, b) if m > p + 2 else None
         if beta is None:
-            out.append(None)
             continue
-        rss = var - 2 * beta @ b + beta @ s @ beta
-        se = math.sqrt(max(rss, 0.0) / (cnt - m - 1) * np.linalg.inv(s)[0, 0])
-        out.append(beta[0] / se if se > 0 else None)
-    return pd.Series(out, dtype=object)
+        rss = c[0, 0] - 2 * beta @ b + beta @ s @ beta
+        best = min(best, (m * math.log(rss) + 2 * (p + 2) if rss > 0 else -math.inf, p))
+    p = best[1]
+    if p is None:
+        return None, None, None
+    m, c = sums.centred(p, p + 1)
+    s, b = c[1:, 1:], c[1:, 0]
+    beta = solve_system(s, b) if m > p + 2 else None
+    if beta is None:
+        return p, m, None
+    rss = max(c[0, 0] - 2 * beta @ b + beta @ s @ beta, 0.0)
+    se = math.sqrt(rss / (m - p - 2) * np.linalg.inv(s)[0, 0])
+    return p, m, float(beta[0] / se) if se > 0 else None
+
+
+ADF_FIT = T.StructType(
+    [
+        T.StructField("lag", T.IntegerType()),
+        T.StructField("n_used", T.LongType()),
+        T.StructField("adf_stat", T.DoubleType()),
+    ]
+)
+
+
+@F.pandas_udf(ADF_FIT)
+def _adf_fit(
+    n: pd.Series, top: pd.Series, x_sum: pd.Series, x_sq: pd.Series,
+    steps: pd.Series, level: pd.Series, head: pd.Series, tail: pd.Series,
+) -> pd.DataFrame:
+    rows = [
+        _unit_root(_LagSums(*rest), int(limit))
+        for limit, *rest in zip(top, n, x_sum, x_sq, steps, level, head, tail, strict=True)
+    ]
+    return pd.DataFrame(rows, columns=ADF_FIT.names).astype({"lag": "Int32", "n_used": "Int64", "adf_stat": "Float64"})
+
+
+def default_max_lag(n: Column) -> Column:
+    """ceil(12 (n/100)^(1/4)), at most n/2 - 2."""
+    return F.least(F.ceil(12 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / 2) - 2).cast("int")
 
 
 def adf(df: DataFrame, s: Series, value: str, max_lag: int | None = None) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag order by AIC.
 
     All orders are compared on the common sample; the chosen one is fitted again on its own
-    longer sample. Keys too short for the test, or constant ones, get NULL and are not
-    called stationary. ``max_lag`` bounds the width of the lag table; without it the
-    longest key decides, which takes one small count.
+    longer sample. Both follow from one aggregate of lag sums per key, of ``2 * max_lag``
+    columns, plus the first and last few values. Keys too short for the test are left out;
+    constant ones get NULL and are not called stationary. Without ``max_lag`` the longest
+    key decides the width, which takes one small count.
     """
     keys = list(s.keys)
-    d = df.where(F.col(value).isNotNull()).select(*keys, *s.order, F.col(value).cast("double").alias("_x"))
+    d = df.where(F.col(value).isNotNull()).select(*keys, *s.order, F.col(value).cast("double").alias("_v"))
     if max_lag is None:
         longest = d.groupBy(*keys).count().agg(F.max(default_max_lag(F.col("count")))).first()[0]
         max_lag = max(int(longest or 0), 0)
-    d = positions(d, s, count="_n")
-    top = F.least(default_max_lag(F.col("_n")), F.lit(max_lag))
-    xs = ["_lvl"] + [f"_d{j}" for j in range(1, max_lag + 1)]
-
-    def design(w):
-        at = lambda k: F.lag("_x", k).over(w) if k else F.col("_x")
-        out = {"_y": F.col("_x") - at(1), "_lvl": at(1)}
-        out |= {f"_d{j}": at(j) - at(j + 1) for j in range(1, max_lag + 1)}
-        return out
-
-    d = frames(d, s, design, back=max_lag + 1).withColumn("_top", top)
-    d = d.where((F.col("_top") >= 0) & (F.col(POS) >= 1))
-    # Lags beyond a key's own limit take no part: they are set to 0 and left out of its system.
-    clip = lambda limit: {
-        f"_d{j}": F.when(F.lit(j) <= limit, F.col(f"_d{j}")).otherwise(0.0) for j in range(1, max_lag + 1)
-    }
-    common = d.where(F.col(POS) >= F.col("_top") + 1).withColumns(clip(F.col("_top")) or {})
-    m = moments(common, keys, "_y", xs, [F.max("_top").alias("_top")])
-    best = m.select(*keys, _best_lag("n", "y_var", "x_y", "x_x", "_top").alias("lag"))
-    again = d.join(best.where(F.col("lag").isNotNull()), keys)
-    again = again.where(F.col(POS) >= F.col("lag") + 1).withColumns(clip(F.col("lag")) or {})
-    m2 = moments(again, keys, "_y", xs, [F.max("lag").alias("lag")])
-    out = m2.select(
-        *keys, "lag", F.col("n").alias("n_used"),
-        _level_t("n", "y_var", "x_y", "x_x", "lag").alias("adf_stat"),
+    centre = d.groupBy(*keys).agg(F.avg("_v").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    d = d.join(centre, keys).withColumn("_x", F.col("_v") - F.col("_m"))
+    d = positions(d, s)
+
+    def steps(w):
+        return {"_before": F.lag("_x").over(w)}
+
+    def lagged(w):
+        step = F.col("_x") - F.col("_before")
+        return {"_d0": step} | {f"_d{k}": F.lag(step, k).over(w) for k in range(1, max_lag + 1)}
+
+    d = frames(d, s, steps, lagged, back=max_lag + 1)
+    edge = max_lag + 2
+
+    def kept(near: Column) -> Column:
+        """Values at one end of the key, in order: at most ``edge`` of them."""
+        pairs = F.array_sort(F.collect_list(F.when(near, F.struct(POS, "_x"))))
+        return F.transform(pairs, lambda e: e["_x"])
+
+    def total(e: Column) -> Column:
+        return F.coalesce(F.sum(e), F.lit(0.0))
+
+    spans = range(max_lag + 1)
+    g = d.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("_x").alias("_sum"),
+        F.sum(F.col("_x") * F.col("_x")).alias("_sq"),
+        F.array(*[total(F.col("_d0") * F.col(f"_d{k}")) for k in spans]).alias("_steps"),
+        F.array(*[total(F.col("_before") * F.col(f"_d{k}")) for k in spans]).alias("_level"),
+        kept(F.col(POS) < edge).alias("_head"),
+        kept(F.col(POS) >= F.col("_n") - edge).alias("_tail"),
     )
+    top = F.least(default_max_lag(F.col("_n")), F.lit(max_lag))
+    g = g.withColumn("_top", top).where(F.col("_top") >= 0)
+    fit = _adf_fit("_n", "_top", "_sum", "_sq", "_steps", "_level", "_head", "_tail")
+    out = g.select(*keys, fit.alias("_fit")).select(*keys, "_fit.*")
     inv = 1.0 / F.col("n_used")
     crit = {
         name: F.lit(c[0]) + c[1] * inv + c[2] * inv * inv + c[3] * inv * inv * inv

@@ -78,9 +78,22 @@ def d03s(t):
     return rounded(d.select("nation", "n", "lm", "f"), 5)
 
 
-@case("d03_breusch_pagan")
+# Two regressors in closed form; both p-values are elementary for two of them.
+@case(
+    "d03_breusch_pagan",
+    f"""with {SQL_DENSE}, m as (
+      select nation, avg(y) my, avg(x1) m1, avg(x2) m2, var_pop(x1) s11, var_pop(x2) s22,
+             covar_pop(x1, x2) s12, covar_pop(x1, y) s1, covar_pop(x2, y) s2 from dense group by 1),
+    b as (select *, (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) b1, (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) b2 from m),
+    q as (select d.nation, x1, x2, power(y - my - b1 * (x1 - m1) - b2 * (x2 - m2), 2) e from dense d join b on d.nation = b.nation),
+    g as (select nation, count(*) n, var_pop(e) v, var_pop(x1) s11, var_pop(x2) s22, covar_pop(x1, x2) s12,
+            covar_pop(x1, e) s1, covar_pop(x2, e) s2 from q group by 1),
+    r as (select nation, n, ((s1 * s22 - s2 * s12) * s1 + (s2 * s11 - s1 * s12) * s2) / (s11 * s22 - s12 * s12) / v r2 from g)
+    select nation, n, round(n * r2, 5) lm, round(exp(-n * r2 / 2), 6) lm_pvalue,
+      round(r2 / 2 / ((1 - r2) / (n - 3)), 5) f, round(power(1 + r2 / (1 - r2), -(n - 3) / 2.0), 6) f_pvalue from r""",
+)
 def d03(t):
-    return rounded(stattests.breusch_pagan(t.dense(), ["nation"], "y", ["x1", "x2"]))
+    return rounded(stattests.breusch_pagan(t.dense(), ["nation"], "y", ["x1", "x2"]), 6, lm=5, f=5)
 
 
 @case("d04_adf")
