@@ -11,6 +11,8 @@ from pyspark.sql.window import Window as W
 from panelflow.functions.scalars import ratio
 from panelflow.operators.clean import numeric_columns
 from panelflow.plans.grid import missing_cells
+from panelflow.plans.series import Series, scan
+from panelflow.session import plan_bytes
 
 # Aggregates per pass; wider sets are split so that one stage stays compiled.
 AGGS_PER_PASS = 96
@@ -44,15 +46,116 @@ def ranges(df: DataFrame, entity: str, time: str) -> DataFrame:
     )
 
 
+# Largest input for which one task may hold all distinct values of a column.
+SMALL_BYTES = 32 * 2**20
+# Rank error of the sketch that brackets a quantile, as a share of the rows: 1 / accuracy.
+SKETCH_ACCURACY = 10000
+# Cells per unit of the compressed value axis that cuts the quantile scan into pieces.
+QUANTILE_CELLS = 512
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], small_bytes: int = SMALL_BYTES
+) -> DataFrame:
+    """(column, n, q array) with linearly interpolated quantiles, exact at any size.
+
+    A percentile aggregate keeps every distinct value of a column in one task, so it is used
+    only for inputs of a checked small size. Beyond it, a bounded sketch first gives an interval around each quantile, wider than the sketch's
+    error bound. Rows below the interval are only counted; those inside, a tiny share, are
+    counted per value and summed along the value axis piece by piece. The pieces are
+    narrow near the median and grow with the distance from it, so outliers do not crowd
+    all values into one piece.
+    """
+    columns, points = list(columns), [float(p) for p in points]
+    if plan_bytes(df) <= small_bytes:
+        wide = df.agg(
+            *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+            *[
+                F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in points])).alias(f"q{i}")
+                for i, c in enumerate(columns)
+            ],
+        )
+        rows = [
+            F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"q{i}").alias("q"))
+            for i, c in enumerate(columns)
+        ]
+        return _rows(wide, rows).where(F.col("n") > 0)
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns]
+    v = df.select(F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
+    slack = 2.0 / SKETCH_ACCURACY
+    low = [max(p - slack, 0.0) for p in points]
+    high = [min(p + slack, 1.0) for p in points]
+    box = v.groupBy("column").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [*low, *high, 0.25, 0.5, 0.75], SKETCH_ACCURACY).alias("_b"),
+    )
+    m = len(points)
+    mark = [F.get("_b", F.lit(i)) for i in range(2 * m + 3)]
+    # The interval is worth it once the slack covers several ranks; else take all rows.
+    many = F.col("_n") >= 4 * SKETCH_ACCURACY
+    spans = [
+        F.struct(
+            F.when(many & F.lit(low[i] > 0), mark[i]).otherwise(F.col("_min")).alias("lo"),
+            F.when(many & F.lit(high[i] < 1), mark[m + i]).otherwise(F.col("_max")).alias("hi"),
+        )
+        for i in range(m)
+    ]
+    box = box.select(
+        "column", "_n", F.array(*spans).alias("_s"), mark[2 * m + 1].alias("_mid"),
+        F.coalesce(F.nullif(mark[2 * m + 2] - mark[2 * m], F.lit(0.0)), F.lit(1.0)).alias("_scale"),
+    )
+    # One row per column of the schema: always small enough to broadcast.
+    box = F.broadcast(box)
+    below = F.lit(float("-inf"))
+    near = [
+        F.struct(
+            F.lit(i).alias("_p"),
+            F.when(F.col("_v") < F.get("_s", F.lit(i))["lo"], below)
+            .when(F.col("_v") <= F.get("_s", F.lit(i))["hi"], F.col("_v"))
+            .alias("_w"),
+        )
+        for i in range(m)
+    ]
+    d = v.join(box, "column").select("column", F.inline(F.array(*near))).where(F.col("_w").isNotNull())
+    d = d.groupBy("column", "_p", "_w").agg(F.count(F.lit(1)).alias("_k")).join(box, "column")
+    cell = F.floor(F.asinh((F.col("_w") - F.col("_mid")) / F.col("_scale")) * QUANTILE_CELLS)
+    d = d.withColumn("_cell", F.when(F.col("_w") > below, cell).otherwise(F.lit(-(2**40)).cast("long")))
+    s = Series(("column", "_p"), ("_w",), plan="blocks")
+    # The number of cells is bounded by the range of asinh on doubles, not by the rows.
+    d = scan(d, s, sums={"_upto": F.col("_k")}, part="_cell", levels=1)
+    h = (F.col("_n") - 1) * F.get(F.array(*[F.lit(p) for p in points]), F.col("_p"))
+
+    def at(rank: Column) -> Column:
+        """The value with the given 1-based rank."""
+        return F.max(F.when((F.col("_upto") - F.col("_k") < rank) & (rank <= F.col("_upto")), F.col("_w")))
+
+    d = d.withColumn("_h", h).groupBy("column", "_n", "_p", "_h").agg(
+        at(F.floor("_h") + 1).alias("_lo"), at(F.ceil("_h") + 1).alias("_hi")
+    )
+    q = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h"))
+    d = d.groupBy("column", F.col("_n").alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct("_p", q.alias("q")))).alias("q")
+    )
+    return d.select("column", "n", F.transform("q", lambda e: e["q"]).alias("q"))
+
+
+def _medians(df: DataFrame, column: str) -> Column:
+    """The exact median as a scalar; NULL for an empty column."""
+    q = exact_quantiles(df, [column], [0.5])
+    return q.select(F.get("q", F.lit(0))).scalar()
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column.
 
-    Exact quartiles keep a value-to-count map; ``approximate`` uses a bounded sketch and
-    is the choice for continuous columns at scale.
+    Quartiles are exact by default, in the same pass for an input of a checked small size
+    and by ``exact_quantiles`` beyond it; ``approximate`` takes them from a bounded sketch.
     """
     columns = list(columns or numeric_columns(df))
-    pct = F.percentile_approx if approximate else F.percentile
-    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)) if not approximate else [0.25, 0.5, 0.75]
+    points = [0.25, 0.5, 0.75]
+    small = not approximate and plan_bytes(df) <= SMALL_BYTES
     aggs, entries = [], []
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
@@ -61,9 +164,12 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: b
             F.avg(v).alias(f"m{i}"),
             F.stddev_samp(v).alias(f"s{i}"),
             F.min(v).alias(f"lo{i}"),
-            pct(v, points).alias(f"q{i}"),
             F.max(v).alias(f"hi{i}"),
         ]
+        if small:
+            aggs.append(F.percentile(v, F.array(*[F.lit(p) for p in points])).alias(f"q{i}"))
+        elif approximate:
+            aggs.append(F.percentile_approx(v, points).alias(f"q{i}"))
         entries.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -71,13 +177,16 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: b
                 F.col(f"m{i}").alias("mean"),
                 F.col(f"s{i}").alias("std"),
                 F.col(f"lo{i}").alias("min"),
-                F.get(f"q{i}", F.lit(0)).alias("q25"),
-                F.get(f"q{i}", F.lit(1)).alias("q50"),
-                F.get(f"q{i}", F.lit(2)).alias("q75"),
+                *([F.col(f"q{i}").alias("_q")] if approximate or small else []),
                 F.col(f"hi{i}").alias("max"),
             )
         )
-    return _rows(_wide_agg(df, aggs), entries)
+    d = _rows(_wide_agg(df, aggs), entries)
+    if not (approximate or small):
+        q = exact_quantiles(df, columns, points).select("column", F.col("q").alias("_q"))
+        d = d.join(q, "column", "left")
+    quartiles = [F.get("_q", F.lit(i)).alias(f"q{p:.0%}".rstrip("%")) for i, p in enumerate(points)]
+    return d.select("column", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def missing_by_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -183,12 +292,11 @@ def zero_share(df: DataFrame, column: str) -> DataFrame:
     v = F.col(column)
     return df.agg(
         F.avg(v).alias("mean"),
-        F.median(v).alias("median"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
         F.count_if(v == 0).alias("zeros"),
         (ratio(F.count_if(v == 0), F.count(F.lit(1))) * 100).alias("zero_pct"),
-    )
+    ).select("mean", _medians(df, column).alias("median"), "min", "max", "zeros", "zero_pct")
 
 
 def correlation(a, b) -> Column:
@@ -422,11 +530,10 @@ def diagnostic_summary(records: DataFrame) -> DataFrame:
         F.count_if("has_autocorrelation").alias("autocorrelated"),
         (ratio(F.count_if("has_autocorrelation"), n) * 100).alias("autocorrelated_pct"),
         F.avg("ols_r2").alias("avg_r2"),
-        F.median("ols_r2").alias("median_r2"),
         F.count_if(F.col("ols_r2") < 0.5).alias("r2_below_05"),
         F.count_if(F.col("trend") == "increasing").alias("increasing"),
         F.count_if(F.col("trend") == "decreasing").alias("decreasing"),
-    )
+    ).withColumn("median_r2", _medians(records, "ols_r2"))
 
 
 def issue_score() -> Column:

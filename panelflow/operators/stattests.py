@@ -266,8 +266,7 @@ def shapiro_wilk(x: np.ndarray) -> tuple[float | None, float | None]:
 def shapiro(df: DataFrame, keys: Sequence[str], value: str, ids: Sequence[str], seed: int = 42) -> DataFrame:
     """Shapiro-Wilk per key; above 5000 values a seeded sample of 5000 is tested.
 
-    The sample limit is part of the test and bounds each group; Spark applies it per task
-    before the shuffle.
+    The sample limit is part of the test and bounds each group.
     """
     d = df.where(F.col(value).isNotNull())
     d = sample_per_key(d, keys, ids, SW_LIMIT, seed).select(*keys, F.col(value).cast("double").alias("_v"))

@@ -157,12 +157,14 @@ def scan(
     prev: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
     part: str | None = None,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add running sums (inclusive), previous-row values and per-key totals.
 
     ``sums`` inputs must not be NULL. ``part`` names an existing column that cuts each
     key into ordered pieces (for example the block column of ``frames``); without it the
-    time bucket is used.
+    time bucket is used. The carry table is scanned in two steps when ``part`` is given,
+    since its pieces grow with the data, unless ``levels`` says 1.
     """
     sums, prev, totals = sums or {}, prev or {}, totals or {}
     whole = W.unboundedPreceding
@@ -176,7 +178,7 @@ def scan(
             *[F.sum(e).over(full).alias(n) for n, e in totals.items()],
         )
 
-    levels = 1 if part is None else 2
+    levels = levels or (1 if part is None else 2)
     if part is None:
         df, part = bucketed(df, s), BUCKET
     group = [*s.keys, part]

@@ -217,3 +217,25 @@ def test_pipeline_end_to_end(spark):
         assert out.where(F.col(c).isNull()).count() == 0
     first = prepare_panel(d, PanelConfig(impute_first=True, entities=["A"]))
     assert first.count() == 10 and first.where("emissions_lag2 is null").count() == 2
+
+
+def test_exact_quantiles(spark):
+    r = np.random.default_rng(4)
+    x = np.concatenate([r.lognormal(3, 2, 500), np.repeat(7.0, 400), [1e12, -1e9]])
+    pdf = pd.DataFrame({"x": x, "few": np.where(np.arange(len(x)) < 3, 1.5, np.nan), "i": np.arange(len(x))})
+    d = spark.createDataFrame(pdf).withColumn("few", F.when(~F.isnan("few"), F.col("few")))
+    points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for limit in (0, 2**40):
+        got = {q["column"]: q for q in profile.exact_quantiles(d, ["x", "few", "i"], points, limit).collect()}
+        for c in ("x", "i"):
+            assert got[c]["q"] == pytest.approx(np.quantile(pdf[c], points).tolist(), rel=1e-12)
+        assert got["few"]["n"] == 3 and got["few"]["q"] == [1.5] * 7
+    big = spark.range(60_000).select(F.round(F.exp(F.randn(3)), 2).alias("v"))
+    got = profile.exact_quantiles(big, ["v"], points, 0).first()["q"]
+    assert got == pytest.approx(profile.exact_quantiles(big, ["v"], points, 2**40).first()["q"], rel=1e-12)
+    plan = profile.exact_quantiles(d, ["x"], [0.5], 0)._jdf.queryExecution().toString()
+    assert "percentile(" not in plan
+    full = profile.describe(d, ["x"]).first()
+    near = profile.describe(d, ["x"], approximate=True).first()
+    assert full["q50"] == pytest.approx(np.median(x)) and near["q50"] == pytest.approx(np.median(x), rel=0.05)
+    assert full.asDict().keys() == near.asDict().keys()
