@@ -329,9 +329,11 @@ def c06w(t):
     "c06_pesaran_cd",
     """with p as (select c_nationkey nation, year(o_orderdate) yr, round(sum(o_totalprice), 2) y
       from orders join customer on o_custkey = c_custkey group by 1, 2),
-    r as (select a.nation, b.nation other, corr(a.y, b.y) r from p a join p b on a.yr = b.yr and a.nation < b.nation group by 1, 2)
-    select (select count(distinct nation) from p) entities, (select count(distinct yr) from p) periods,
-      round(sqrt(2.0 * (select count(distinct yr) from p) / (25 * 24)) * sum(r), 6) cd_stat from r""",
+    r as (select a.nation, b.nation other, corr(a.y, b.y) r from p a join p b on a.yr = b.yr and a.nation < b.nation group by 1, 2),
+    k as (select count(distinct nation) n, count(distinct yr) t, count(*) cells from p)
+    select any_value(n) entities, any_value(t) periods,
+      case when any_value(cells = n * t) then round(sqrt(2.0 * any_value(t) / (any_value(n) * (any_value(n) - 1))) * sum(r), 6) end cd_stat
+    from r, k""",
 )
 def c06p(t):
     j = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
