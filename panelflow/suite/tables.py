@@ -132,8 +132,8 @@ def s15(t):
 
 @case(
     "s16_entity_tables",
-    """select 'customer' as "table", count(*) as "rows" from customer where c_nationkey = 7
-       union all select 'supplier', count(*) from supplier where s_nationkey = 7""",
+    """select * from (select 'customer' as "table", count(*) as "rows" from customer where c_nationkey = 7
+       union all select 'supplier', count(*) from supplier where s_nationkey = 7) where "rows" > 0""",
 )
 def s16(t):
     tables = {
