@@ -28,7 +28,7 @@ from panelflow.operators.profile import regression_metrics
 from panelflow.operators.regression import ols, predicted
 from panelflow.plans.series import POS, Series, positions
 
-# The reference forest's settings.
+# The default forest settings.
 FOREST = {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "seed": 42}
 
 
