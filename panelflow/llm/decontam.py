@@ -169,7 +169,7 @@ def benchmark_hits(
     size: int = 10,
     block: int = 200_000,
 ) -> DataFrame:
-    """(id, n_words, n_hit, starts, ends, items) of every row of `docs`.
+    """(id, n_words, n_hit, starts, ends, items, text_hash) of every row of `docs`.
 
     A window is `size` consecutive words of an item (all of them if it has fewer); words of a
     document inside any occurrence of a window are hit. `starts` and `ends` are the hit spans in
@@ -202,7 +202,7 @@ def benchmark_hits(
     if blocks > 1:
         found = _united(found, blocks)
     sizes = F.aggregate(F.zip_with("starts", "ends", lambda s, e: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
-    return found.select("id", "n_words", sizes.alias("n_hit"), "starts", "ends", "items")
+    return found.select("id", "n_words", sizes.alias("n_hit"), "starts", "ends", "items", "text_hash")
 
 
 def _united(found: DataFrame, blocks: int) -> DataFrame:
@@ -225,3 +225,10 @@ def _united(found: DataFrame, blocks: int) -> DataFrame:
     return same.withColumn("spans", spans).withColumn("copy", copies).select(
         "id", "n_words", F.col("spans.starts").alias("starts"), F.col("spans.ends").alias("ends"), "items", "text_hash"
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of `docs` without a hit."""
+    hits = benchmark_hits(docs, items, id_col, text_col, **settings).filter("n_hit > 0").select("id", "text_hash").distinct()
+    same = docs[id_col].eqNullSafe(hits["id"]) & (F.xxhash64(docs[text_col].cast("string")) == hits["text_hash"])
+    return docs.join(hits, same, "left_anti")
