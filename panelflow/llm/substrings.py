@@ -100,8 +100,8 @@ def _anchors(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hs, rows, places = [], [], []
-            for k, t in enumerate(b.column(1)):
-                words = split(t.as_py())
+            for k, (i, t) in enumerate(zip(b.column(0), b.column(1), strict=True)):
+                words = split(t.as_py()) if i.is_valid else []
                 if len(words) < plan.size:
                     continue
                 at, h = plan.anchors(hashes(words))
@@ -123,8 +123,8 @@ def _windows(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             left, right, rows, places = [], [], [], []
-            for k, (t, flagged) in enumerate(zip(b.column(1), b.column(2), strict=True)):
-                words = split(t.as_py())
+            for k, (i, t, flagged) in enumerate(zip(b.column(0), b.column(1), b.column(2), strict=True)):
+                words = split(t.as_py()) if i.is_valid else []
                 if len(words) < plan.size:
                     continue
                 h = hashes(words)
@@ -221,11 +221,11 @@ def remove_repeats(
     plan = Plan(size)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    known = rows.filter("id is not null")
-    digest = known.select("id", F.sha2("text", 256).alias("digest")).filter("digest is not null")
+    digest = rows.select("id", F.sha2("text", 256).alias("digest")).filter("id is not null and digest is not null")
     firsts = digest.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
     copies = digest.join(firsts, "digest").filter("id > first").groupBy("id").agg(F.lit(True).alias("copy"))
-    marked = known.join(copies, "id", "left")
+    # the left sides of the joins by id stay exactly alike (no filter of their own), so that they share one exchange
+    marked = rows.join(copies, "id", "left")
 
     anchors = marked.filter("copy is null").select("id", "text").mapInArrow(_anchors(plan), f"h bigint, id {kind}, at int")
     shared = anchors.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("n > 1")
@@ -235,8 +235,7 @@ def remove_repeats(
     later = windows.withColumn("place", F.rank().over(Window.partitionBy("a", "c").orderBy("id"))).filter("place > 1")
     listed = later.groupBy("id").agg(F.collect_list("start").alias("listed"))
     ready = marked.join(listed, "id", "left").select("id", "text", "copy", "listed")
-    lost = rows.filter("id is null").select("id", "text", F.lit(None).cast("boolean").alias("copy"), F.lit(None).cast("array<int>").alias("listed"))
-    return ready.unionAll(lost).mapInArrow(
+    return ready.mapInArrow(
         _cleaned(plan, with_text),
         f"id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, starts array<bigint>, ends array<bigint>, kept string",
     )
