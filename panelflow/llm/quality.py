@@ -23,7 +23,7 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 
 #: The vector: its parts and the least standard deviation that each is taken to have.
-PARTS = {"x_words": 0.3, "x_length": 0.08, "x_symbols": 0.5, "x_lines": 0.15, "x_repeats": 0.12}
+PARTS = {"x_words": 0.3, "x_length": 0.08, "x_symbols": 0.3, "x_lines": 0.15, "x_repeats": 0.12}
 
 Q = list(PARTS)
 P = len(Q)

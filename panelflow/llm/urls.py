@@ -99,13 +99,17 @@ def train(
     rows = distinct.repartition(1).sortWithinPartitions("host", "path")
     rows = hashing(features).transform(rows.withColumn("grams_", grams(F.col("host"), F.col("path"), sizes))).select("vector_", "label_").cache()
     try:
-        if rows.select("label_").distinct().count() < 2:
+        sizes_of = {r["label_"]: r["count"] for r in rows.groupBy("label_").count().collect()}
+        if len(sizes_of) < 2:
             return UrlModel(None, features, sizes)
+        # both classes weigh the same, however many pages of each are labelled
+        half = sum(sizes_of.values()) / 2
+        weighted = rows.withColumn("weight_", F.when(F.col("label_") == 1, half / sizes_of[1.0]).otherwise(half / sizes_of[0.0]))
         lr = LogisticRegression(
-            featuresCol="vector_", labelCol="label_", probabilityCol="probability_", rawPredictionCol="raw_", predictionCol="predicted_",
+            featuresCol="vector_", labelCol="label_", weightCol="weight_", probabilityCol="probability_", rawPredictionCol="raw_", predictionCol="predicted_",
             regParam=penalty, maxIter=60, standardization=False,
         )
-        return UrlModel(lr.fit(rows), features, sizes)
+        return UrlModel(lr.fit(weighted), features, sizes)
     finally:
         rows.unpersist()
 
