@@ -185,12 +185,13 @@ def _distance_bin(d2: Column) -> Column:
     return F.floor(16 * F.log2(F.least(F.greatest(d2, F.lit(1e-9)), F.lit(1e30))))
 
 
-def mcd(rows: DataFrame, share: float = 0.75, least_gain: float = 1e-6, steps: int = 40) -> DataFrame:
+def mcd(rows: DataFrame, share: float = 0.75, least_gain: float = 1e-3, steps: int = 40) -> DataFrame:
     """Centre and Cholesky factor per `grp` of `rows` (grp and the vector).
 
     Two starts are concentrated: the classical moments, and the rows nearest to the medians in
-    units of the quartile range; the one with the smaller determinant is returned, with
-    `converged` telling whether its last step gained less than `least_gain`.
+    units of the quartile range. A group's step is taken if it lowers the logarithm of its
+    determinant by more than `least_gain`; else the group is done and costs nothing more. The start
+    with the smaller determinant is returned, with `converged` telling whether it was done in time.
     """
     keys = ["grp", "start"]
     rough = rows
@@ -207,21 +208,22 @@ def mcd(rows: DataFrame, share: float = 0.75, least_gain: float = 1e-6, steps: i
     limits = histogram_limits(rough, keys, F.col("bin"), [share]).withColumnRenamed("q_0", "limit")
     near = rough.join(limits, keys).filter("bin <= limit")
     both = _moments(near, keys).unionByName(_moments(rows.withColumn("start", F.lit(0)), keys))
-    fit = materialised(_factor(both, keys).withColumn("gain", F.lit(None).cast("double")), "mcd")
+    fit = materialised(_factor(both, keys).withColumn("done", F.lit(False)), "mcd")
     for _ in range(steps):
-        at = rows.join(fit, "grp").select(*keys, *Q, "log_det", _distance_bin(distance()).alias("bin"))
-        limits = histogram_limits(at, keys, F.col("bin"), [share]).withColumnRenamed("q_0", "limit")
-        near = at.join(limits, keys).filter("bin <= limit")
-        new = _factor(_moments(near, keys), keys)
-        old = fit.select(*keys, F.col("log_det").alias("old"))
-        new = new.join(old, keys).withColumn("gain", F.col("old") - F.col("log_det")).drop("old")
-        first = fit.select("gain").filter("gain is not null").isEmpty()
-        fit = materialised(new, "mcd")
-        if not first and fit.filter(F.col("gain") > least_gain).isEmpty():
+        if fit.filter(~F.col("done")).isEmpty():
             break
+        active = fit.filter(~F.col("done"))
+        at = rows.join(active, "grp").select(*keys, *Q, _distance_bin(distance()).alias("bin"))
+        limits = histogram_limits(at, keys, F.col("bin"), [share]).withColumnRenamed("q_0", "limit")
+        new = _factor(_moments(at.join(limits, keys).filter("bin <= limit"), keys), keys)
+        new = new.select(*keys, F.struct([c for c in new.columns if c not in keys]).alias("new"))
+        old = fit.select(*keys, F.struct([c for c in fit.columns if c not in (*keys, "done")]).alias("old"))
+        better = F.coalesce(F.col("old.log_det") - F.col("new.log_det") > least_gain, F.lit(False))
+        taken = old.join(new, keys, "left").select(*keys, F.when(better, F.col("new")).otherwise(F.col("old")).alias("est"), (~better).alias("done"))
+        fit = materialised(taken.select(*keys, "est.*", "done"), "mcd")
     best = fit.groupBy("grp").agg(F.min(F.struct("log_det", "start")).alias("best"))
     chosen = best.select("grp", F.col("best.start").alias("start"))
-    return fit.join(chosen, keys).withColumn("converged", F.col("gain") <= least_gain).drop("start", "gain")
+    return fit.join(chosen, keys).drop("start").withColumnRenamed("done", "converged")
 
 
 def judge(
