@@ -11,6 +11,7 @@ from pyspark.sql.window import Window as W
 
 from panelflow.functions.scalars import is_finite, safe_double
 from panelflow.plans.series import Series, positions, public
+from panelflow.session import materialised
 
 
 def require_columns(df: DataFrame, needed: Iterable[str]) -> DataFrame:
@@ -120,7 +121,7 @@ def period_split(df: DataFrame, time: str, test: int, validation: int) -> DataFr
         time,
         F.when(r <= test, "test").when(r <= test + validation, "validation").otherwise("train").alias("part"),
     )
-    return df.join(named, time)
+    return df.join(materialised(named, "periods"), time)
 
 
 def members_only(df: DataFrame, column: str, names: DataFrame | Sequence | None) -> DataFrame:

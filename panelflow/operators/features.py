@@ -247,18 +247,22 @@ def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df.withColumns({f"{a}_x_{b}": F.col(a) * F.col(b) for a, b in pairs})
 
 
-def bars(df: DataFrame, keys: Sequence[str], ts: str, price: str, size: str, volume: Column | None = None) -> DataFrame:
-    """OHLCV bars per key and time slot; works on streams with a watermark too."""
-    t = F.col(ts)
+def bars(
+    df: DataFrame, keys: Sequence[str], ts: str, price: str, size: str, volume: Column | None = None, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """OHLCV bars per key and time slot; works on streams with a watermark too.
+
+    Rows of equal time are ordered by ``tiebreak``, then by price, so open and close are defined.
+    """
+    order = F.struct(ts, *tiebreak, price)
     return (
         df.groupBy(*keys, F.window(ts, size).alias("_w"))
         .agg(
-            F.min_by(price, t).alias("open"),
+            F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            F.max_by(price, t).alias("close"),
+            F.max_by(price, order).alias("close"),
             F.sum(volume if volume is not None else F.lit(1)).alias("volume"),
         )
         .select(*keys, F.col("_w.start").alias("bar_start"), "open", "high", "low", "close", "volume")
     )
-

@@ -17,21 +17,23 @@ ZERO_FILL = ("renewable_pct",)
 UNTOUCHED = ("mean_temp",)
 
 
-def _anchors(w, pos: str, columns: Sequence[str]) -> dict[str, Column]:
+def _anchors(group: Sequence[str], pos: str, columns: Sequence[str]) -> dict[str, Column]:
     """Value and position of the nearest known neighbours on both sides, per column.
 
-    They become columns of their own: a window expression written twice runs twice.
+    They become columns of their own: a window expression written twice runs twice. The later
+    neighbour is the last one seen from the end: a frame that grows from its start is kept up
+    row by row, one that reaches to the end would be computed anew for each row.
     """
-    past = w.rowsBetween(W.unboundedPreceding, 0)
-    future = w.rowsBetween(0, W.unboundedFollowing)
+    past = W.partitionBy(*group).orderBy(pos).rowsBetween(W.unboundedPreceding, 0)
+    future = W.partitionBy(*group).orderBy(F.desc(pos)).rowsBetween(W.unboundedPreceding, 0)
     out = {}
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         at = F.when(v.isNotNull(), F.col(pos))
         out[f"_pv{i}"] = F.last(v, ignorenulls=True).over(past)
         out[f"_pr{i}"] = F.last(at, ignorenulls=True).over(past)
-        out[f"_nv{i}"] = F.first(v, ignorenulls=True).over(future)
-        out[f"_nr{i}"] = F.first(at, ignorenulls=True).over(future)
+        out[f"_nv{i}"] = F.last(v, ignorenulls=True).over(future)
+        out[f"_nr{i}"] = F.last(at, ignorenulls=True).over(future)
     return out
 
 
@@ -47,9 +49,8 @@ def _line(pv: Column, pr: Column, nv: Column, nr: Column, pos: Column) -> Column
 
 def _anchored(df: DataFrame, s: Series, columns: Sequence[str]) -> DataFrame:
     """Entity plan: row number, anchors and known-value count of each column."""
-    w = s.window()
-    d = df.withColumn("_row", F.row_number().over(w))
-    d = d.withColumns(_anchors(w, "_row", columns))
+    d = df.withColumn("_row", F.row_number().over(s.window()))
+    d = d.withColumns(_anchors(s.keys, "_row", columns))
     whole = W.partitionBy(*s.keys)
     return d.withColumns({f"_n{i}": F.count(c).over(whole) for i, c in enumerate(columns)})
 
@@ -136,9 +137,8 @@ def _interpolate_long(df: DataFrame, s: Series, columns: Sequence[str]) -> DataF
             F.min(at).alias(f"_fr{i}"),
         ]
     heads = d.groupBy(*group).agg(*aggs)
-    kw = W.partitionBy(*s.keys).orderBy(part)
-    before = kw.rowsBetween(W.unboundedPreceding, -1)
-    after = kw.rowsBetween(1, W.unboundedFollowing)
+    before = W.partitionBy(*s.keys).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy(*s.keys).orderBy(F.desc(part)).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*s.keys)
     carry = heads.select(
         *group,
@@ -149,13 +149,13 @@ def _interpolate_long(df: DataFrame, s: Series, columns: Sequence[str]) -> DataF
                 F.sum(f"_n{i}").over(whole).alias(f"_n{i}"),
                 F.last(f"_lv{i}", ignorenulls=True).over(before).alias(f"_bpv{i}"),
                 F.last(f"_lr{i}", ignorenulls=True).over(before).alias(f"_bpr{i}"),
-                F.first(f"_fv{i}", ignorenulls=True).over(after).alias(f"_bnv{i}"),
-                F.first(f"_fr{i}", ignorenulls=True).over(after).alias(f"_bnr{i}"),
+                F.last(f"_fv{i}", ignorenulls=True).over(after).alias(f"_bnv{i}"),
+                F.last(f"_fr{i}", ignorenulls=True).over(after).alias(f"_bnr{i}"),
             )
         ],
     )
     d = d.join(carry, group)
-    d = d.withColumns(_anchors(W.partitionBy(*group).orderBy("_pos"), "_pos", columns))
+    d = d.withColumns(_anchors(group, "_pos", columns))
     out = {}
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")

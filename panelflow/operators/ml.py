@@ -28,8 +28,9 @@ from panelflow.operators.profile import regression_metrics
 from panelflow.operators.regression import ols, predicted
 from panelflow.plans.series import POS, Series, positions
 
-# The default forest settings.
+# The default forest settings, and those of the baseline forest.
 FOREST = {"numTrees": 200, "maxDepth": 10, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "seed": 42}
+BASELINE_FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1, "featureSubsetStrategy": "all", "seed": 42}
 
 
 def zscores(df: DataFrame, columns: Sequence[str], train: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
@@ -75,14 +76,14 @@ def train_and_score(train: DataFrame, test: DataFrame, features: Sequence[str],
     return fitted, score(fitted, test.dropna(subset=[*features, label]), label)
 
 
-def baselines(split: DataFrame, features: Sequence[str], label: str, trees: int = 100, **settings) -> DataFrame:
+def baselines(split: DataFrame, features: Sequence[str], label: str, **settings) -> DataFrame:
     """Scaled linear regression and a forest on the same seeded split, both scored."""
     rows = split.dropna(subset=[*features, label])
     train, test = rows.where("is_train"), rows.where(~F.col("is_train"))
     out = None
     for name, pipe in (
         ("linear", linear(features, label)),
-        ("forest", forest(features, label, scaled=False, numTrees=trees, **settings)),
+        ("forest", forest(features, label, scaled=False, **(BASELINE_FOREST | settings))),
     ):
         m = score(pipe.fit(train), test, label).select(F.lit(name).alias("model"), "*")
         out = m if out is None else out.unionByName(m)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,6 @@ from panelflow.functions.scalars import ratio
 from panelflow.operators.clean import numeric_columns
 from panelflow.plans.grid import missing_cells
 from panelflow.plans.series import Series, scan
-from panelflow.session import plan_bytes
 
 # Aggregates per pass; wider sets are split so that one stage stays compiled.
 AGGS_PER_PASS = 96
@@ -46,99 +46,95 @@ def ranges(df: DataFrame, entity: str, time: str) -> DataFrame:
     )
 
 
-# Largest input for which one task may hold all distinct values of a column.
-SMALL_BYTES = 32 * 2**20
 # Rank error of the sketch that brackets a quantile, as a share of the rows: 1 / accuracy.
 SKETCH_ACCURACY = 10000
-# Cells per unit of the compressed value axis that cuts the quantile scan into pieces.
-QUANTILE_CELLS = 512
+# Rows of a bracket that one cell should hold, and the fewest cells of a bracket.
+CELL_ROWS = 1000
+LEAST_CELLS = 256
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], points: Sequence[float], small_bytes: int = SMALL_BYTES
-) -> DataFrame:
+def quantile_brackets(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """(column, n, point, h, lo, hi, cells): a value interval that holds the wanted ranks.
+
+    ``h`` is the wanted rank from 0, with a fraction. The interval's ends are the sketch's values one
+    rank and twice its error bound outside of it, clipped to the smallest and largest value;
+    this one rule holds for all numbers of rows. The rows are counted first, because the
+    sketch takes its ranks as constants.
+    """
+    counted = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    aggs, entries, slack = [], [], 2.0 / SKETCH_ACCURACY
+    for i, c in enumerate(columns):
+        n = counted[i]
+        if n == 0:
+            continue
+        h = [(n - 1) * p for p in points]
+        low = [max((x - 1) / n - slack, 0.0) for x in h]
+        high = [min((x + 2) / n + slack, 1.0) for x in h]
+        bounds = F.percentile_approx(F.col(c).cast("double"), [*low, *high], SKETCH_ACCURACY)
+        aggs.append(bounds.alias(f"b{i}"))
+        cells = max(LEAST_CELLS, math.ceil(2 * slack * n / CELL_ROWS))
+        for k in range(len(points)):
+            ends = [F.get(f"b{i}", F.lit(k + shift)) for shift in (0, len(points))]
+            named = {"column": F.lit(c), "n": F.lit(n).cast("long"), "point": F.lit(k), "h": F.lit(float(h[k])), "lo": ends[0], "hi": ends[1]}
+            named["cells"] = F.lit(cells).cast("long")
+            entries.append(F.struct(*[v.alias(name) for name, v in named.items()]))
+    if not entries:
+        return df.sparkSession.createDataFrame(
+            [], "column string, n long, point int, h double, lo double, hi double, cells long"
+        )
+    return _rows(_wide_agg(df, aggs), entries)
+
+
+def quantile_cells(df: DataFrame, columns: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """(column, point, value, cell): the rows up to each bracket's end, cut into cells.
+
+    Cells have equal widths inside the bracket. Rows below it are all in cell -1, without a value.
+    """
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    v = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    # One row per column of the schema and point: always small enough to broadcast.
+    d = v.join(F.broadcast(brackets), "column").where("value <= hi")
+    place = F.floor(F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * F.col("cells"))
+    inside = F.col("value") >= F.col("lo")
+    cell = F.when(inside, F.least(F.coalesce(place, F.lit(0)), F.col("cells") - 1)).otherwise(-1)
+    return d.select("column", "point", F.when(inside, F.col("value")).alias("value"), cell.cast("long").alias("cell"))
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
     """(column, n, q array) with linearly interpolated quantiles, exact at any size.
 
-    A percentile aggregate keeps every distinct value of a column in one task, so it is used
-    only for inputs of a checked small size. Beyond it, a bounded sketch first gives an interval around each quantile, wider than the sketch's
-    error bound. Rows below the interval are only counted; those inside, a tiny share, are
-    counted per value and summed along the value axis piece by piece. The pieces are
-    narrow near the median and grow with the distance from it, so outliers do not crowd
-    all values into one piece.
+    A bounded sketch gives a narrow bracket around each quantile. Its rows are counted per cell,
+    which tells the one or two cells that hold the wanted ranks; only the rows of these are
+    counted per value and put in order. The number of cells follows the number of rows, so a
+    cell stays small. A rank outside its bracket is an error, never a wrong value. Counts the
+    rows when called.
     """
     columns, points = list(columns), [float(p) for p in points]
-    if plan_bytes(df) <= small_bytes:
-        wide = df.agg(
-            *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-            *[
-                F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in points])).alias(f"q{i}")
-                for i, c in enumerate(columns)
-            ],
-        )
-        rows = [
-            F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"q{i}").alias("q"))
-            for i, c in enumerate(columns)
-        ]
-        return _rows(wide, rows).where(F.col("n") > 0)
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns]
-    v = df.select(F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
-    slack = 2.0 / SKETCH_ACCURACY
-    low = [max(p - slack, 0.0) for p in points]
-    high = [min(p + slack, 1.0) for p in points]
-    box = v.groupBy("column").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [*low, *high, 0.25, 0.5, 0.75], SKETCH_ACCURACY).alias("_b"),
-    )
-    m = len(points)
-    mark = [F.get("_b", F.lit(i)) for i in range(2 * m + 3)]
-    # The interval is worth it once the slack covers several ranks; else take all rows.
-    many = F.col("_n") >= 4 * SKETCH_ACCURACY
-    spans = [
-        F.struct(
-            F.when(many & F.lit(low[i] > 0), mark[i]).otherwise(F.col("_min")).alias("lo"),
-            F.when(many & F.lit(high[i] < 1), mark[m + i]).otherwise(F.col("_max")).alias("hi"),
-        )
-        for i in range(m)
-    ]
-    box = box.select(
-        "column", "_n", F.array(*spans).alias("_s"), mark[2 * m + 1].alias("_mid"),
-        F.coalesce(F.nullif(mark[2 * m + 2] - mark[2 * m], F.lit(0.0)), F.lit(1.0)).alias("_scale"),
-    )
-    # One row per column of the schema: always small enough to broadcast.
-    box = F.broadcast(box)
-    below = F.lit(float("-inf"))
-    near = [
-        F.struct(
-            F.lit(i).alias("_p"),
-            F.when(F.col("_v") < F.get("_s", F.lit(i))["lo"], below)
-            .when(F.col("_v") <= F.get("_s", F.lit(i))["hi"], F.col("_v"))
-            .alias("_w"),
-        )
-        for i in range(m)
-    ]
-    d = v.join(box, "column").select("column", F.inline(F.array(*near))).where(F.col("_w").isNotNull())
-    d = d.groupBy("column", "_p", "_w").agg(F.count(F.lit(1)).alias("_k")).join(box, "column")
-    cell = F.floor(F.asinh((F.col("_w") - F.col("_mid")) / F.col("_scale")) * QUANTILE_CELLS)
-    d = d.withColumn("_cell", F.when(F.col("_w") > below, cell).otherwise(F.lit(-(2**40)).cast("long")))
-    s = Series(("column", "_p"), ("_w",), plan="blocks")
-    # The number of cells is bounded by the range of asinh on doubles, not by the rows.
-    d = scan(d, s, sums={"_upto": F.col("_k")}, part="_cell", levels=1)
-    h = (F.col("_n") - 1) * F.get(F.array(*[F.lit(p) for p in points]), F.col("_p"))
-
-    def at(rank: Column) -> Column:
+    box = quantile_brackets(df, columns, points)
+    d = quantile_cells(df, columns, box)
+    at = ["column", "point"]
+    w = W.partitionBy(*at).orderBy("cell")
+    cells = d.groupBy(*at, "cell").agg(F.count(F.lit(1)).alias("k")).withColumn("upto", F.sum("k").over(w))
+    cells = cells.join(F.broadcast(box), at)
+    first, second = F.floor("h") + 1, F.ceil("h") + 1
+    holds = (F.col("upto") >= first) & (F.col("upto") - F.col("k") < second)
+    wanted = cells.where(holds & (F.col("cell") >= 0)).select(*at, "cell", "n", "h", (F.col("upto") - F.col("k")).alias("below"))
+    # At most two cells for each column and point.
+    values = d.where("cell >= 0").join(F.broadcast(wanted), [*at, "cell"])
+    values = values.groupBy(*at, "cell", "n", "h", "below", "value").agg(F.count(F.lit(1)).alias("k"))
+    inner = W.partitionBy(*at, "cell").orderBy("value")
+    values = values.withColumn("upto", F.col("below") + F.sum("k").over(inner))
+
+    def ranked(rank: Column) -> Column:
         """The value with the given 1-based rank."""
-        return F.max(F.when((F.col("_upto") - F.col("_k") < rank) & (rank <= F.col("_upto")), F.col("_w")))
+        return F.max(F.when((F.col("upto") - F.col("k") < rank) & (rank <= F.col("upto")), F.col("value")))
 
-    d = d.withColumn("_h", h).groupBy("column", "_n", "_p", "_h").agg(
-        at(F.floor("_h") + 1).alias("_lo"), at(F.ceil("_h") + 1).alias("_hi")
-    )
-    q = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h"))
-    d = d.groupBy("column", F.col("_n").alias("n")).agg(
-        F.array_sort(F.collect_list(F.struct("_p", q.alias("q")))).alias("q")
-    )
-    return d.select("column", "n", F.transform("q", lambda e: e["q"]).alias("q"))
+    ends = values.groupBy(*at, "n", "h").agg(ranked(first).alias("a"), ranked(second).alias("b"))
+    lost = F.raise_error("a quantile's rank is outside of its bracket").cast("double")
+    q = F.coalesce(F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h")), lost)
+    found = box.select(*at, "n").join(ends.select(*at, q.alias("q")), at, "left").withColumn("q", F.coalesce("q", lost))
+    out = found.groupBy("column", "n").agg(F.array_sort(F.collect_list(F.struct("point", "q"))).alias("q"))
+    return out.select("column", "n", F.transform("q", lambda e: e["q"]).alias("q"))
 
 
 def _medians(df: DataFrame, column: str) -> Column:
@@ -150,12 +146,11 @@ def _medians(df: DataFrame, column: str) -> Column:
 def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column.
 
-    Quartiles are exact by default, in the same pass for an input of a checked small size
-    and by ``exact_quantiles`` beyond it; ``approximate`` takes them from a bounded sketch.
+    Quartiles are exact by default (``exact_quantiles``); ``approximate`` takes them from a
+    bounded sketch in the same pass as the rest.
     """
     columns = list(columns or numeric_columns(df))
     points = [0.25, 0.5, 0.75]
-    small = not approximate and plan_bytes(df) <= SMALL_BYTES
     aggs, entries = [], []
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
@@ -166,9 +161,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: b
             F.min(v).alias(f"lo{i}"),
             F.max(v).alias(f"hi{i}"),
         ]
-        if small:
-            aggs.append(F.percentile(v, F.array(*[F.lit(p) for p in points])).alias(f"q{i}"))
-        elif approximate:
+        if approximate:
             aggs.append(F.percentile_approx(v, points).alias(f"q{i}"))
         entries.append(
             F.struct(
@@ -177,12 +170,12 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, approximate: b
                 F.col(f"m{i}").alias("mean"),
                 F.col(f"s{i}").alias("std"),
                 F.col(f"lo{i}").alias("min"),
-                *([F.col(f"q{i}").alias("_q")] if approximate or small else []),
+                *([F.col(f"q{i}").alias("_q")] if approximate else []),
                 F.col(f"hi{i}").alias("max"),
             )
         )
     d = _rows(_wide_agg(df, aggs), entries)
-    if not (approximate or small):
+    if not approximate:
         q = exact_quantiles(df, columns, points).select("column", F.col("q").alias("_q"))
         d = d.join(q, "column", "left")
     quartiles = [F.get("_q", F.lit(i)).alias(f"q{p:.0%}".rstrip("%")) for i, p in enumerate(points)]
@@ -389,47 +382,51 @@ def histogram(df: DataFrame, column: str, bins: int, keys: Sequence[str] = (), l
     )
 
 
+# Least rows, numeric columns and |r|, and most missing cells, of a table fit for a baseline model.
+FIT_ROWS, FIT_NUMERIC, FIT_MISSING, FIT_CORRELATION = 200, 2, 0.3, 0.1
+
+
 def suitability(df: DataFrame, name: str = "table") -> DataFrame:
-    """Baseline-model verdicts for one table, from one aggregate.
+    """One row: is the table fit for a linear baseline and for a forest? The last numeric column is the target.
 
-    Fixed values: 200 rows, 2 numeric columns, 30 % missing, |r| of 0.1.
+    ``reasons`` holds a code and the measured number for everything that speaks against it:
+    ``few_rows``, ``few_numeric``, ``missing_share``, ``flat_target``, ``weak_r``. The verdicts follow
+    from the codes: a flat target leaves a linear model with caveats and rules a forest out;
+    too few numeric columns rule out both.
     """
     numeric = numeric_columns(df)
-    target = numeric[-1] if numeric else None
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(df.columns)]
-    if target:
-        aggs.append(F.var_pop(F.col(target).cast("double")).alias("_var"))
-        aggs += [
-            F.abs(correlation(F.col(c).cast("double"), F.col(target).cast("double"))).alias(f"_r{i}")
-            for i, c in enumerate(numeric[:-1])
-        ]
-    w = _wide_agg(df, aggs)
-    missing = sum((F.col(f"_m{i}") for i in range(len(df.columns))), F.lit(0))
-    miss = ratio(missing, F.col("_rows") * len(df.columns))
-    strong = [F.col(f"_r{i}") for i in range(len(numeric) - 1)] if target else []
-    best = F.lit(None).cast("double")
-    if strong:
-        best = F.greatest(*strong) if len(strong) > 1 else strong[0]
-    few = len(numeric) < 2
-    flat = F.coalesce(F.col("_var") == 0, F.lit(False)) if target else F.lit(False)
-    notes = [
-        F.when(F.col("_rows") < 200, F.concat(F.lit("Low sample size ("), F.col("_rows"), F.lit(" rows)."))),
-        F.when(F.lit(few), "Not enough numeric columns for regression."),
-        F.when(miss > 0.3, F.concat(F.lit("High overall missingness (~"), F.round(miss * 100, 1), F.lit("%)."))),
-        F.when(flat, F.lit(f"Target '{target}' has zero variance.")),
-        F.when((F.col("_rows") >= 200) & F.lit(not few) & (best < 0.1), "Weak linear correlation with the target."),
-    ]
-    note = F.concat_ws("; ", *notes)
-    bad = F.lit(few) | flat
-    return w.select(
+    measured = {"rows": F.count(F.lit(1)), "cells": F.lit(0).cast("long")}
+    for c in df.columns:
+        measured["cells"] = measured["cells"] + F.count_if(F.col(c).isNull())
+    y = F.col(numeric[-1]).cast("double") if numeric else F.lit(None).cast("double")
+    measured["spread"] = F.var_pop(y)
+    others = [F.abs(correlation(F.col(c).cast("double"), y)) for c in numeric[:-1]]
+    measured["r"] = F.greatest(*others) if len(others) > 1 else others[0] if others else F.lit(None).cast("double")
+    one = df.agg(*[v.alias(k) for k, v in measured.items()])
+    one = one.withColumn("share", ratio("cells", F.col("rows") * len(df.columns))).withColumn("numeric", F.lit(len(numeric)))
+    enough = (F.col("rows") >= FIT_ROWS) & (F.col("numeric") >= FIT_NUMERIC)
+    against = {
+        "few_rows": (F.col("rows") < FIT_ROWS, "rows"),
+        "few_numeric": (F.col("numeric") < FIT_NUMERIC, "numeric"),
+        "missing_share": (F.col("share") > FIT_MISSING, "share"),
+        "flat_target": (F.col("spread") == 0, "spread"),
+        "weak_r": (enough & (F.col("r") < FIT_CORRELATION), "r"),
+    }
+    codes = [F.when(test, F.struct(F.lit(code).alias("code"), F.col(by).cast("double").alias("value"))) for code, (test, by) in against.items()]
+    one = one.withColumn("reasons", F.filter(F.array(*codes), lambda x: x.isNotNull()))
+
+    def has(code: str) -> Column:
+        return F.exists("reasons", lambda x: x["code"] == code)
+
+    unfit = has("few_numeric")
+    return one.select(
         F.lit(name).alias("dataset"),
-        F.col("_rows").alias("rows"),
-        F.lit(len(numeric)).alias("numeric_columns"),
-        miss.alias("missing_ratio"),
-        F.when(~bad, "Yes").when(F.lit(not few), "With caveats").otherwise("No").alias("linear_verdict"),
-        F.when(~bad, "Yes").otherwise("No").alias("forest_verdict"),
-        F.when(note == "", "No major issues detected.").otherwise(note).alias("notes"),
+        "rows",
+        F.col("numeric").alias("numeric_columns"),
+        F.col("share").alias("missing_ratio"),
+        F.when(unfit, "no").when(has("flat_target"), "caveats").otherwise("yes").alias("linear_verdict"),
+        F.when(unfit | has("flat_target"), "no").otherwise("yes").alias("forest_verdict"),
+        "reasons",
     )
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from panelflow.session import materialised
+
 
 def calendar(df: DataFrame, time: str) -> DataFrame:
     """Distinct periods, their 1-based rank and the number of periods.
@@ -30,7 +32,9 @@ def calendar(df: DataFrame, time: str) -> DataFrame:
 
 def missing_cells(df: DataFrame, entity: str, time: str) -> DataFrame:
     """(entity, period) pairs of the full grid that have no row."""
-    cal = calendar(df, time)
+    # Written once: a calendar's size is then known, so Spark broadcasts it if it is small, and
+    # the panel is not dealt out by its few periods.
+    cal = materialised(calendar(df, time), "calendar")
     cells = df.select(entity, time).where(F.col(entity).isNotNull()).distinct().join(cal, time)
     w = W.partitionBy(entity).orderBy("_rank")
     jumps = cells.select(

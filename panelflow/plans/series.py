@@ -185,17 +185,20 @@ def scan(
     heads = df.groupBy(*group).agg(
         *[F.sum(e).alias(f"_s_{n}") for n, e in sums.items()],
         *[_last_by(e, s.order).alias(f"_l_{n}") for n, e in prev.items()],
-        *([] if sums or prev else [F.count(F.lit(1)).alias("_rows")]),
+        *[F.sum(e).alias(f"_t_{n}") for n, e in totals.items()],
+        F.count(F.lit(1)).alias("_rows"),
     )
-    out = df
     if sums or prev:
         carry = _carry_table(
             heads, s.keys, part, [f"_s_{n}" for n in sums], [f"_l_{n}" for n in prev], levels
         )
-        out = out.join(carry, group)
+    else:
+        carry = heads.select(*group)
     if totals:
-        per_key = df.groupBy(*s.keys).agg(*[F.sum(e).alias(n) for n, e in totals.items()])
-        out = out.join(per_key, list(s.keys))
+        # Totals come from the heads and reach the rows by the same join on (key, bucket).
+        per_key = heads.groupBy(*s.keys).agg(*[F.sum(f"_t_{n}").alias(n) for n in totals])
+        carry = carry.join(per_key, list(s.keys))
+    out = df.join(carry, group)
     w = W.partitionBy(*group).orderBy(*s.order)
     if prev:
         out = out.withColumn("_first", F.row_number().over(w) == 1)

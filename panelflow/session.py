@@ -40,8 +40,3 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame, without running it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -14,38 +14,54 @@ IMAGE = ("png", "jpg", "jpeg", "gif")
 TEXT = ("txt", "csv", "json", "log")
 
 
-def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below the root with its class, size and content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """(path, file_path, file_name, file_type, size_bytes) of every file below the root; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
     ext = extension("path")
     kind = F.when(ext.isin(*IMAGE), "image").when(ext.isin(*TEXT), "text").otherwise("unsupported")
-    d = files.select(
+    return files.select(
+        "path",
         relative_path("path", root).alias("file_path"),
         base_name("path").alias("file_name"),
         kind.alias("file_type"),
         F.col("length").alias("size_bytes"),
-        "content",
     )
+
+
+def with_contents(spark: SparkSession, root: str, listed: DataFrame) -> DataFrame:
+    """The listed files with their content; the scan is given only their paths."""
+    names = [r["path"] for r in listed.select("path").toLocalIterator()]
+    files = spark.read.format("binaryFile").load(names) if names else spark.read.format("binaryFile").load(root).where("false")
+    d = listed.join(files.select("path", F.col("content").alias("_bytes")), "path")
     # Text that is not valid UTF-8 keeps its bytes instead of failing the other files.
-    text = F.when(F.col("file_type") == "text", F.try_validate_utf8(F.col("content").cast("string")))
+    text = F.when(F.col("file_type") == "text", F.try_validate_utf8(F.col("_bytes").cast("string")))
     return d.select(
         "file_path", "file_name", "file_type", "size_bytes",
         text.alias("content"),
-        F.when(text.isNull(), F.col("content")).alias("binary"),
+        F.when(text.isNull(), F.col("_bytes")).alias("binary"),
         F.current_timestamp().alias("created_at"),
     )
 
 
+def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below the root with its class, size and content."""
+    return with_contents(spark, root, list_artifacts(spark, root))
+
+
 def sync_artifacts(spark: SparkSession, root: str, catalog: str) -> int:
     """Add files whose path is not cataloged yet; returns how many were added.
 
-    Classification happens by path, so contents are read only for the files to add.
+    Files are told apart by their listing, and only those to add are opened. Their paths pass
+    the driver, as the paths of any scan do.
     """
-    found = scan_artifacts(spark, root).where(F.col("file_type") != "unsupported")
-    had = 0
+    found = list_artifacts(spark, root).where(F.col("file_type") != "unsupported")
     if exists(spark, catalog):
-        seen = spark.read.parquet(catalog).select("file_path")
-        had = seen.count()
-        found = skip_present(found, seen, ["file_path"])
-    found.write.mode("append").parquet(catalog)
-    return spark.read.parquet(catalog).count() - had
+        found = skip_present(found, spark.read.parquet(catalog).select("file_path"), ["file_path"])
+    found = found.cache()
+    try:
+        added = found.count()
+        if added:
+            with_contents(spark, root, found).write.mode("append").parquet(catalog)
+    finally:
+        found.unpersist()
+    return added

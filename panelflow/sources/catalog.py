@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelflow.sources.readers import read_csv
+from panelflow.sources.storage import children
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -74,6 +75,15 @@ def sync_csv_files(
     return done
 
 
+def sync_csv_directory(
+    spark: SparkSession, folder: str, manifest: str, protected: Iterable[str] = (), prefix: str = ""
+) -> dict[str, str]:
+    """Load every ``*.csv`` of a folder into the table of its name; the outcome per path."""
+    names = [n for n in children(spark, folder) if n.endswith(".csv")]
+    files = {f"{folder}/{n}": prefix + n.removesuffix(".csv") for n in names}
+    return sync_csv_files(spark, files, manifest, protected)
+
+
 def refresh_copy(source: Mapping[str, DataFrame], target: str) -> dict[str, bool]:
     """Replace each target table by its source; an empty source keeps the target."""
     done = {}

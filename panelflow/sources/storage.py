@@ -11,8 +11,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, or a pattern names any."""
     fs, p = _fs(spark, path)
-    return fs.exists(p)
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def require(spark: SparkSession, path: str) -> str:

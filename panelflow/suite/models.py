@@ -372,27 +372,23 @@ def model_frame(t):
     return materialised(clean.year_split(flagship(t), "yr", 1999), "model-frame")
 
 
-def _settings():
-    return {"numTrees": 40, "maxDepth": 8}
-
-
 @case("m02_forest")
 def m02(t):
     d = model_frame(t)
-    _, metrics = ml.train_and_score(d.where("is_train"), d.where(~F.col("is_train")), FEATURES, "v_diff", **_settings())
+    _, metrics = ml.train_and_score(d.where("is_train"), d.where(~F.col("is_train")), FEATURES, "v_diff")
     return rounded(metrics, 4)
 
 
 @case("m03_baselines")
 def m03(t):
     d = materialised(clean.seeded_split(flagship(t), ["entity", "yr"]), "split")
-    return rounded(ml.baselines(d, FEATURES, "v_diff", trees=40, maxDepth=8), 4)
+    return rounded(ml.baselines(d, FEATURES, "v_diff"), 4)
 
 
 @case("m04_importance")
 def m04(t):
     d = model_frame(t)
-    fitted = ml.forest(FEATURES, "v_diff", **_settings()).fit(d.where("is_train"))
+    fitted = ml.forest(FEATURES, "v_diff").fit(d.where("is_train"))
     return rounded(ml.importance(t.spark, fitted, FEATURES))
 
 
@@ -400,7 +396,7 @@ def m04(t):
 def m05(t):
     d = model_frame(t)
     variants = {"with_n": FEATURES, "without_n": FEATURES[:2]}
-    m = ml.compare_variants(d.where("is_train"), d.where(~F.col("is_train")), variants, "v_diff", **_settings())
+    m = ml.compare_variants(d.where("is_train"), d.where(~F.col("is_train")), variants, "v_diff")
     return rounded(m, 4)
 
 
@@ -516,3 +512,14 @@ def x03(t):
     return rounded(t.spark.read.parquet(job.output).select("event_id", "score", "is_change"), 5)
 
 
+@case(
+    "x04_bar_stream",
+    """with t as (select event_type instrument, value, event_id, ts, time_bucket(interval '1 hour', ts) bar from events)
+    select instrument, epoch_us(bar) bar_us, arg_min(value, (ts, value)) open, max(value) high, min(value) low,
+      arg_max(value, (ts, value)) "close", count(*) volume
+    from t where bar + interval '1 hour' <= (select max(ts) - interval '10 minutes' from events) group by 1, 2""",
+)
+def x04(t):
+    out = scratch_path(t.spark, "stream-bars")
+    tick_stream.drain(tick_stream.bar_stream(event_stream(t), "1 hour"), out, scratch_path(t.spark, "checkpoint"))
+    return t.spark.read.parquet(out).select("instrument", micros("bar_start", "bar_us"), "open", "high", "low", "close", "volume")

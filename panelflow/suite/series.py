@@ -402,11 +402,31 @@ def c05(t):
 
 @case(
     "c07_bars",
-    """select event_type instrument, epoch_us(time_bucket(interval '15 minutes', ts)) bar_us, arg_min(value, ts) open,
-       max(value) high, min(value) low, arg_max(value, ts) "close", count(*) volume from events group by 1, 2""",
+    """with t as (select event_id, event_type, value, date_trunc('minute', ts) ts from events)
+    select event_type instrument, epoch_us(time_bucket(interval '15 minutes', ts)) bar_us, arg_min(value, (ts, event_id)) open,
+       max(value) high, min(value) low, arg_max(value, (ts, event_id)) "close", count(*) volume from t group by 1, 2""",
 )
 def c07(t):
-    b = features.bars(t.ticks(), ["instrument"], "ts", "mid", "15 minutes")
+    # whole minutes, so that ticks of equal time occur
+    d = t.ticks().withColumn("ts", F.date_trunc("minute", "ts"))
+    b = features.bars(d, ["instrument"], "ts", "mid", "15 minutes", tiebreak=["event_id"])
     return b.select("instrument", micros("bar_start", "bar_us"), "open", "high", "low", "close", "volume")
 
 
+@case(
+    "w06_interpolate_ticks",
+    f"""with {SQL_TICKS}, holed as (
+      select event_id, instrument, ts, case when event_id % 3 > 0 then mid end v from ticks),
+    r as (select *, row_number() over w pos, count(v) over (partition by instrument) known from holed
+      window w as (partition by instrument order by ts, event_id)),
+    a as (select *,
+      last_value(v ignore nulls) over p pv, last_value(case when v is not null then pos end ignore nulls) over p pp,
+      first_value(v ignore nulls) over f nv, first_value(case when v is not null then pos end ignore nulls) over f np
+      from r window p as (partition by instrument order by pos rows between unbounded preceding and current row),
+        f as (partition by instrument order by pos rows between current row and unbounded following))
+    select event_id, instrument, round(case when known < 2 then v
+      else coalesce(v, pv + (nv - pv) * (pos - pp) / (np - pp), pv, nv) end, 6) v from a""",
+)
+def w06t(t):
+    d = t.ticks().select("event_id", "instrument", "ts", F.when(F.col("event_id") % 3 > 0, F.col("mid")).alias("v"))
+    return rounded(impute.interpolate(d, TICKS, ["v"]).select("event_id", "instrument", "v"), 6)

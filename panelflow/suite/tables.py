@@ -517,9 +517,10 @@ def a16(t):
 
 @case("a17_suitability")
 def a17(t):
-    d = profile.suitability(t.lineitem, "lineitem")
-    for name in ("region", "nation", "customer", "orders", "events"):
-        d = d.unionByName(profile.suitability(getattr(t, name), name))
+    d = None
+    for name in DRIVER_TABLES:
+        one = profile.suitability(getattr(t, name), name)
+        d = one if d is None else d.unionByName(one)
     return d
 
 

@@ -104,7 +104,7 @@ def test_forest_importance_and_variants(spark, regression_rows):
         train, test, {"all": FEATURES, "noise": ["noise"]}, "y", numTrees=5, maxDepth=3
     ).collect()}
     assert v["all"]["r2"] > v["noise"]["r2"] and v["all"]["n"] == v["noise"]["n"]
-    base = {r["model"]: r for r in ml.baselines(d, FEATURES, "y", trees=10, maxDepth=5).collect()}
+    base = {r["model"]: r for r in ml.baselines(d, FEATURES, "y", numTrees=10, maxDepth=5).collect()}
     assert base["linear"]["r2"] == pytest.approx(1, abs=1e-6)
 
 

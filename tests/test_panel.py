@@ -181,14 +181,39 @@ def test_histogram_per_key_and_log(spark):
 
 
 def test_suitability_verdicts(spark):
+    def judged(d):
+        q = profile.suitability(d).first()
+        return q["linear_verdict"], q["forest_verdict"], {r["code"]: r["value"] for r in q["reasons"]}
+
     few = spark.createDataFrame([("x", 1.0)], "s string, v double")
-    q = profile.suitability(few).first()
-    assert (q["linear_verdict"], q["forest_verdict"]) == ("No", "No") and "Low sample size" in q["notes"]
+    assert judged(few) == ("no", "no", {"few_rows": 1, "few_numeric": 1, "flat_target": 0})
     flat = spark.range(300).select(F.col("id").alias("a"), F.lit(1.0).alias("v"))
-    q = profile.suitability(flat).first()
-    assert (q["linear_verdict"], q["forest_verdict"]) == ("With caveats", "No") and "zero variance" in q["notes"]
+    assert judged(flat) == ("caveats", "no", {"flat_target": 0})
     good = spark.range(300).select(F.col("id").alias("a"), (F.col("id") * 2.0).alias("v"))
-    assert profile.suitability(good).first()["notes"] == "No major issues detected."
+    assert judged(good) == ("yes", "yes", {})
+    noise = spark.range(300).select((F.col("id") % 2).alias("a"), F.when(F.col("id") % 4 < 2, 1).alias("b"), (F.col("id") % 4 < 2).cast("int").alias("v"))
+    assert judged(noise.select("a", "v"))[2] == pytest.approx({"weak_r": 0})
+    assert set(judged(noise.select(F.lit(None).cast("int").alias("n"), "v"))[2]) == {"missing_share"}
+    assert judged(few.limit(0))[:2] == ("no", "no")
+
+
+def test_quantile_cells_are_small(spark):
+    """Exact at several sizes, and no cell of a bracket holds more than 1/50 of it."""
+    for n in (1, 2, 3, 7, 1000, 300_000):
+        d = spark.range(n).select(
+            F.rand(1).alias("uniform"), F.randn(2).alias("normal"), F.exp(3 * F.randn(3)).alias("lognormal"), F.lit(4.0).alias("constant")
+        )
+        names, points = d.columns, [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+        got = {r["column"]: r["q"] for r in profile.exact_quantiles(d, names, points).collect()}
+        exact = d.toPandas().quantile(points)
+        assert all(got[c] == pytest.approx(exact[c].tolist(), rel=1e-12) for c in names)
+    box = profile.quantile_brackets(d, names, [0.25, 0.5])
+    cells = profile.quantile_cells(d, names, box).where("cell >= 0").groupBy("column", "point", "cell").agg(
+        F.count_distinct("value").alias("k")
+    )
+    worst = cells.groupBy("column", "point").agg(F.max("k").alias("k"), F.sum("k").alias("all")).collect()
+    assert all(r["k"] <= max(6, r["all"] / 50) for r in worst)
+    assert profile.exact_quantiles(d.limit(0), names, [0.5]).count() == 0
 
 
 def test_wide_aggregates_are_split(spark):
@@ -225,15 +250,14 @@ def test_exact_quantiles(spark):
     pdf = pd.DataFrame({"x": x, "few": np.where(np.arange(len(x)) < 3, 1.5, np.nan), "i": np.arange(len(x))})
     d = spark.createDataFrame(pdf).withColumn("few", F.when(~F.isnan("few"), F.col("few")))
     points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    for limit in (0, 2**40):
-        got = {q["column"]: q for q in profile.exact_quantiles(d, ["x", "few", "i"], points, limit).collect()}
-        for c in ("x", "i"):
-            assert got[c]["q"] == pytest.approx(np.quantile(pdf[c], points).tolist(), rel=1e-12)
-        assert got["few"]["n"] == 3 and got["few"]["q"] == [1.5] * 7
+    got = {q["column"]: q for q in profile.exact_quantiles(d, ["x", "few", "i"], points).collect()}
+    for c in ("x", "i"):
+        assert got[c]["q"] == pytest.approx(np.quantile(pdf[c], points).tolist(), rel=1e-12)
+    assert got["few"]["n"] == 3 and got["few"]["q"] == [1.5] * 7
     big = spark.range(60_000).select(F.round(F.exp(F.randn(3)), 2).alias("v"))
-    got = profile.exact_quantiles(big, ["v"], points, 0).first()["q"]
-    assert got == pytest.approx(profile.exact_quantiles(big, ["v"], points, 2**40).first()["q"], rel=1e-12)
-    plan = profile.exact_quantiles(d, ["x"], [0.5], 0)._jdf.queryExecution().toString()
+    got = profile.exact_quantiles(big, ["v"], points).first()["q"]
+    assert got == pytest.approx(np.quantile(big.toPandas()["v"], points).tolist(), rel=1e-12)
+    plan = profile.exact_quantiles(d, ["x"], [0.5])._jdf.queryExecution().toString()
     assert "percentile(" not in plan
     full = profile.describe(d, ["x"]).first()
     near = profile.describe(d, ["x"], approximate=True).first()

@@ -5,8 +5,6 @@ import pytest
 import __spark_entry__ as driver
 from tests.oracle import connect, difference
 
-SLOW_ROWS_ONLY = {"m02_forest", "m03_baselines", "m05_covariate_ablation", "m06_permutation"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -19,9 +17,7 @@ def test_equals_sql(spark, sf, duck, name):
     assert difference(got, duck.execute(driver.oracle_sql()[name]).df()) is None
 
 
-@pytest.mark.parametrize(
-    "name", sorted(set(driver.queries()) - set(driver.oracle_sql()) - SLOW_ROWS_ONLY)
-)
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
 def test_runs(spark, sf, name):
     assert driver.queries()[name](spark, sf).count() > 0
 
