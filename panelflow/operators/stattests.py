@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from panelflow.functions import tails
 from panelflow.functions.scalars import chi2_tail_even, label_below
 from panelflow.operators.clean import sample_per_key
-from panelflow.operators.profile import trend_label
+from panelflow.operators.profile import metric_report, moments_of, trend_label
 from panelflow.operators.regression import _full, fit_moments, moments, ols, residuals, solve_system
 from panelflow.plans.series import BUCKET, POS, Series, frames, positions, scan
+from panelflow.session import materialised
 
 
 def durbin_watson(df: DataFrame, s: Series, resid: str = "resid") -> DataFrame:
@@ -519,13 +520,16 @@ def _nu_constant(v: pd.Series) -> pd.Series:
 
 
 def student_t_fit(df: DataFrame, keys: Sequence[str], value: str, passes: int = 2) -> DataFrame:
-    """Maximum-likelihood Student-t (df, loc, scale) per key.
+    """Maximum-likelihood Student-t (df, loc, scale) per key, with ``t_gradient`` and ``converged``.
 
     A fine histogram of bounded size per key gives the start; ``passes`` exact scoring
-    steps over all rows follow, each one aggregate of nine sums.
+    steps over all rows follow, each one aggregate of nine sums. The values are written once,
+    and each step carries its parameters through the aggregate. ``t_gradient`` is the largest mean
+    score before the last step, which squares the error; ``converged`` says that it was below 0.01.
     """
     keys = list(keys)
     d = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    d = materialised(d, "t-fit")
     box = d.groupBy(*keys).agg(F.percentile_approx("_x", [0.25, 0.5, 0.75], 1000).alias("_q"), F.stddev_pop("_x").alias("_sd"))
     box = box.select(
         *keys,
@@ -553,17 +557,22 @@ def student_t_fit(df: DataFrame, keys: Sequence[str], value: str, passes: int =
             w * a - 1,
             v * 0.5 * (F.col("_const") - F.log1p(a / v) + (v + 1) * a / (v * (v + a))),
         ]
-        g = j.select(*keys, *[e.alias(f"_g{i}") for i, e in enumerate(g)])
+        g = j.select(*keys, "t_df", "t_loc", "t_scale", *[e.alias(f"_g{i}") for i, e in enumerate(g)])
         sums = g.groupBy(*keys).agg(
+            *[F.first(c).alias(c) for c in ("t_df", "t_loc", "t_scale")],
             F.array(*[F.avg(f"_g{i}") for i in range(3)]).alias("_grad"),
             F.array(
                 *[F.avg(F.col(f"_g{i}") * F.col(f"_g{k}")) for i in range(3) for k in range(i, 3)]
             ).alias("_outer"),
         )
-        params = params.join(sums, keys).select(
-            *keys, _score_step("t_df", "t_loc", "t_scale", "_grad", "_outer").alias("_p")
-        ).select(*keys, "_p.*")
-    return params
+        params = sums.select(
+            *keys,
+            _score_step("t_df", "t_loc", "t_scale", "_grad", "_outer").alias("_p"),
+            F.array_max(F.transform("_grad", F.abs)).alias("t_gradient"),
+        ).select(*keys, "_p.*", "t_gradient")
+    if not passes:
+        params = params.withColumn("t_gradient", F.lit(None).cast("double"))
+    return params.withColumn("converged", F.coalesce(F.col("t_gradient") < 0.01, F.lit(False)))
 
 
 def entity_report(
@@ -574,6 +583,7 @@ def entity_report(
     A test that cannot be computed gives NULL and a false flag; the entity stays.
     """
     keys, time = list(s.keys), s.order[0]
+    df = materialised(df, "report")
     base = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_obs"),
         F.min(time).alias("min_period"),
@@ -584,7 +594,7 @@ def entity_report(
     )
     base = base.where(F.col("n_obs") >= least)
     root = adf(df, s, value, max_lag).select(*keys, "adf_pvalue", "is_stationary")
-    res = residuals(df, keys, value, xs)
+    res = materialised(residuals(df, keys, value, xs), "residuals")
     fit = res.groupBy(*keys).agg(F.max("r2").alias("ols_r2"))
     dw = durbin_watson(res, s)
     out = base.join(root, keys, "left").join(fit, keys, "left").join(dw, keys, "left")
@@ -600,7 +610,8 @@ def entity_report(
 def assumption_report(df: DataFrame, s: Series, value: str, xs: Sequence[str], ids: Sequence[str], max_lag: int | None = None) -> DataFrame:
     """ADF, Durbin-Watson, Breusch-Pagan and Shapiro-Wilk per entity, one row each."""
     keys = list(s.keys)
-    res = residuals(df, keys, value, xs)
+    df = materialised(df, "report")
+    res = materialised(residuals(df, keys, value, xs), "residuals")
     parts = [
         durbin_watson(res, s),
         breusch_pagan(df, keys, value, xs).select(*keys, F.col("lm_pvalue").alias("bp_pvalue")),
@@ -612,7 +623,32 @@ def assumption_report(df: DataFrame, s: Series, value: str, xs: Sequence[str], i
     return out
 
 
+# The metrics of a market report, in order.
+MARKET_METRICS = (
+    "mean", "std", "skewness", "excess_kurtosis", "jb_stat", "jb_pvalue", "arch_stat", "arch_pvalue",
+    "hurst", "t_df", "t_loc", "t_scale",
+)
+
+
+def market_report(df: DataFrame, s: Series, value: str) -> DataFrame:
+    """(key, metric, value) of returns: moments, normality, ARCH, Hurst and the Student-t fit.
+
+    The returns are written once; every part reads the written rows.
+    """
+    keys = list(s.keys)
+    r = materialised(df, "returns")
+    wide = r.groupBy(*keys).agg(*moments_of(value))
+    for part in (
+        jarque_bera(r, keys, value).drop("n"),
+        arch_test(r, s, value).drop("n"),
+        hurst(r, s, value),
+        student_t_fit(r, keys, value),
+    ):
+        wide = wide.join(part, keys, "left")
+    return metric_report(wide, MARKET_METRICS, keys)
+
+
 __all__ = [
     "acf", "adf", "arch_test", "assumption_report", "breusch_pagan", "durbin_watson", "entity_report",
-    "hurst", "jarque_bera", "normal_fit", "pacf", "shapiro", "student_t_fit",
+    "hurst", "jarque_bera", "market_report", "normal_fit", "pacf", "shapiro", "student_t_fit",
 ]

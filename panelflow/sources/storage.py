@@ -27,3 +27,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when it does not exist."""
     fs, p = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote; nothing happens if it is gone."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

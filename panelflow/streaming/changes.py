@@ -4,7 +4,8 @@ Each micro-batch is scored with the same block plan as a batch job, on the new r
 the last ``2w - 1`` rows of each key from the batch before. So a key that holds most of a
 batch is still spread over many tasks, which a per-key state function would not allow.
 State and output are written per batch id, so a batch that runs again replaces its own
-files and nothing else.
+files and nothing else. The states of the last two batches are kept; older ones go. A batch is read
+once: its rows are persisted while late rows, scores and state are derived.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.window import Window as W
 
 from panelflow.operators.regimes import cusum_columns
 from panelflow.plans.series import Series, frames, public
-from panelflow.sources.storage import children, exists
+from panelflow.sources.storage import children, exists, remove
 
 
 @dataclass(frozen=True)
@@ -49,9 +50,23 @@ class ChangeStream:
         return f"{self.root}/state/batch_id={max(ids)}" if ids else None
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        s, spark = self.series, batch.sparkSession
+        keys, order = list(self.series.keys), list(self.series.order)
+        rows = batch.select(*keys, *order, self.value).withColumn("_new", F.lit(True)).persist()
+        try:
+            self._score(rows, batch_id)
+        finally:
+            rows.unpersist()
+        self._forget(batch.sparkSession, batch_id)
+
+    def _forget(self, spark, batch_id: int) -> None:
+        """Drop states that no replay can need: a replay is of the last batch, on the state before it."""
+        for name in children(spark, f"{self.root}/state"):
+            if name.startswith("batch_id=") and int(name.split("=")[1]) < batch_id - 1:
+                remove(spark, f"{self.root}/state/{name}")
+
+    def _score(self, rows: DataFrame, batch_id: int) -> None:
+        s, spark = self.series, rows.sparkSession
         keys, order = list(s.keys), list(s.order)
-        rows = batch.select(*keys, *order, self.value).withColumn("_new", F.lit(True))
         before = self._state_before(spark, batch_id)
         if before:
             tail = spark.read.parquet(before)

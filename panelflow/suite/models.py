@@ -274,20 +274,7 @@ def a26(t):
 
 @case("d15_market_report")
 def d15(t):
-    r = valid_returns(t)
-    wide = r.groupBy("instrument").agg(*profile.moments_of("log_return"))
-    for part in (
-        stattests.jarque_bera(r, KEY, "log_return").drop("n"),
-        stattests.arch_test(r, TICKS, "log_return").drop("n"),
-        stattests.hurst(r, TICKS, "log_return"),
-        stattests.student_t_fit(r, KEY, "log_return"),
-    ):
-        wide = wide.join(part, "instrument", "left")
-    metrics = [
-        "mean", "std", "skewness", "excess_kurtosis", "jb_stat", "jb_pvalue", "arch_stat", "arch_pvalue",
-        "hurst", "t_df", "t_loc", "t_scale",
-    ]
-    return rounded(profile.metric_report(wide, metrics, KEY))
+    return rounded(stattests.market_report(valid_returns(t), TICKS, "log_return"))
 
 
 # --- declared panel tests ------------------------------------------------------------
@@ -487,8 +474,9 @@ def x01(t):
     return tick_rows(t.spark.read.parquet(out))
 
 
-def event_stream(t):
-    e = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.root)
+def event_stream(t, log=None):
+    r = t.spark.readStream.schema(t.events.schema)
+    e = r.parquet(log) if log else r.option("pathGlobFilter", "events.parquet").parquet(t.root)
     return e.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("instrument"),
         F.col("value").alias("mid"),
@@ -507,8 +495,15 @@ def x02(t):
 
 @case("x03_stream_change", SQL_CUSUM)
 def x03(t):
-    job = ChangeStream(TICKS, "mid", scratch_path(t.spark, "changes"))
-    job.run(event_stream(t), scratch_path(t.spark, "checkpoint"))
+    # The events arrive in three slices of time, each a micro-batch on the state of the one before.
+    job, log = ChangeStream(TICKS, "mid", scratch_path(t.spark, "changes")), scratch_path(t.spark, "event-log")
+    checkpoint = scratch_path(t.spark, "checkpoint")
+    lo, hi = t.events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    lo, hi = lo or 0, hi or 0  # of an empty table: one empty slice after the other
+    at = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) * 3 / (hi - lo + 1))
+    for k in range(3):
+        t.events.where(at == k).write.mode("append").parquet(log)
+        job.run(event_stream(t, log), checkpoint)
     return rounded(t.spark.read.parquet(job.output).select("event_id", "score", "is_change"), 5)
 
 
