@@ -87,7 +87,14 @@ def _shard_links(radius: int, flush: int):
             fps = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             cut = np.nonzero((key[1:] != key[:-1]) | (tree[1:] != tree[:-1]))[0] + 1
             starts, ends = np.append(0, cut), np.append(cut, len(key))
-            for i in np.nonzero((ends - starts > 1) | (starts == 0) | (ends == len(key)))[0]:
+            sizes, inside = ends - starts, (starts > 0) & (ends < len(key))
+            # a tree of two is its root and one child: all of them are searched at once
+            two = starts[inside & (sizes == 2)]
+            two = two[(role[two] == 0) & (np.bitwise_count(fps[two] ^ fps[two + 1]) <= radius)]
+            if len(two):
+                nodes = b.column("node")
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(two + 1)), nodes.take(pa.array(two))], names=["src", "dst"])
+            for i in np.nonzero(~inside | (sizes > 2))[0]:
                 s, e = int(starts[i]), int(ends[i])
                 now = (key[s], tree[s])
                 if now != held_key:
