@@ -26,8 +26,8 @@ from panelflow.session import materialised
 class ShardLinks:
     """Hits inside one shard, reduced to one link from each fingerprint to its local root."""
 
-    def __init__(self, fps: np.ndarray, members: int, radius: int) -> None:
-        self.fps, self.members, self.radius = fps, members, radius
+    def __init__(self, fps: np.ndarray, members: int, radius: int, leaf: int = 0) -> None:
+        self.fps, self.members, self.radius, self.leaf = fps, members, radius, leaf
         self.root = np.arange(len(fps))
 
     def _roots(self, at: np.ndarray) -> np.ndarray:
@@ -38,12 +38,24 @@ class ShardLinks:
                 return r
             r = up
 
+    def _compare(self, nodes: np.ndarray, queries: np.ndarray) -> None:
+        q, n = np.nonzero(np.bitwise_count(self.fps[queries][:, None] ^ self.fps[nodes][None]) <= self.radius)
+        a, b = queries[q], nodes[n]
+        while len(a):
+            a, b = self._roots(a), self._roots(b)
+            apart = a != b
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+
     def search(self) -> np.ndarray:
         """Walk the tree with all queries at once; root[i] is i's local root afterwards."""
         fps, radius = self.fps, self.radius
         stack = [(np.arange(self.members), np.arange(len(fps)))]
         while stack:
             nodes, queries = stack.pop()
+            if len(nodes) <= self.leaf and len(queries) <= self.leaf:
+                self._compare(nodes, queries)
+                continue
             top, rest = nodes[0], nodes[1:]
             away = np.bitwise_count(fps[queries] ^ fps[top]).astype(np.int16)
             hit = queries[away <= radius]
@@ -60,7 +72,7 @@ class ShardLinks:
         return self._roots(np.arange(len(fps)))
 
 
-def _shard_links(radius: int, flush: int):
+def _shard_links(radius: int, flush: int, leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # (role, fp, node) arrays of the shard being read
         held_key = None
@@ -72,7 +84,7 @@ def _shard_links(radius: int, flush: int):
             members = int((role == 0).sum())
             if len(fps) < 2 or members == 0:
                 return None
-            root = ShardLinks(fps, members, radius).search()
+            root = ShardLinks(fps, members, radius, leaf).search()
             moved = np.nonzero(root != np.arange(len(fps)))[0]
             if len(moved) == 0:
                 return None
@@ -130,14 +142,14 @@ def block_keys(fp: Column, blocks: int, equal: int) -> Column:
 
 
 def hamming_links(
-    prints: DataFrame, radius: int, blocks: int, equal: int, shard: int = 20_000
+    prints: DataFrame, radius: int, blocks: int, equal: int, shard: int = 20_000, leaf: int = 0
 ) -> DataFrame:
     """Links (src, dst) that join all fingerprints of `prints` (node, fp) within `radius` bits.
 
     The links have the components of the full link graph, with at most one link per
     fingerprint, key and tree. Nodes may have any type; fingerprints should be distinct.
     Every pair within `blocks - equal` bits is found; with a larger `radius`, also the pairs up
-    to it that agree in `equal` blocks.
+    to it that agree in `equal` blocks. Parts of a tree of at most `leaf` prints are compared directly.
     """
     keyed = prints.select("node", "fp", F.explode(block_keys(F.col("fp"), blocks, equal)).alias("key"))
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shard)
@@ -154,5 +166,5 @@ def hamming_links(
     return (
         rows.repartition("key", "tree")
         .sortWithinPartitions("key", "tree", "role")
-        .mapInArrow(_shard_links(radius, 4 * shard), f"src {node}, dst {node}")
+        .mapInArrow(_shard_links(radius, 4 * shard, leaf), f"src {node}, dst {node}")
     )

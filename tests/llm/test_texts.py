@@ -220,3 +220,52 @@ def test_lines_query(spark, sf, docs):  # noqa: F811
             n = " ".join(lines.normal_words(line))
             kept[n] = kept.get(n, 0) + 1
     assert all(kept.get(n, 0) <= 1 for n in exact)
+
+
+def test_line_prints_of_texts():
+    texts = ["abc", "a line of words", "日本 😀 x ß", "w" * 700, "ab"]
+    assert lines.text_prints(texts).tolist() == [print_of(t.split()) for t in texts]
+    assert lines.text_prints(["abcd"]).tolist() == [print_of(["abcd"])]
+
+
+def test_lines_recall(spark):
+    """Near-copies by edit similarity alone: every pair within the radius is linked, and most are within it."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 10)))
+    rows = []
+    for i in range(600):
+        a = [word() for _ in range(rng.randrange(12, 60))]
+        b = list(a)
+        b[rng.randrange(len(b))] = word()
+        if a != b:
+            rows.append((i, " ".join(a), " ".join(b)))
+    prints = [[print_of(t.split()) for t in r[1:]] for r in rows]
+    near = {r[0] for r, (p, q) in zip(rows, prints) if (p ^ q).bit_count() <= 8 and lines.similar(r[1], r[2], 0.8)}
+    alike = {i for i, a, b in rows if lines.similar(a, b, 0.8)}
+    df = spark.createDataFrame([(i, a + "\n" + b) for i, a, b in rows], "doc_id int, text string")
+    found = {r.id for r in lines.removed_lines(df).collect()}
+    assert found == near
+    assert len(found) >= 0.7 * len(alike) and len(alike) > 550
+
+
+def test_lines_whole_radius(spark):
+    """All pairs of lines by radius and edit similarity alone."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8)))
+    base = [[word() for _ in range(rng.randrange(3, 40))] for _ in range(12)]
+    rows = []
+    for i in range(50):
+        line = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 2, 6])):
+            line[rng.randrange(len(line))] = word()
+        rows.append((i, " ".join(line)))
+    texts = {t: print_of(t.split()) for _, t in rows if len(t) >= 10}
+    near = lambda a, b: (texts[a] ^ texts[b]).bit_count() <= 8 and lines.similar(a, b, 0.8)
+    group, first, want = ref.components(sorted(texts), near), {}, {}
+    for i, t in rows:
+        if t in texts and first.setdefault(group[t], i) != i:
+            want[i] = {0}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for cell in (2, 1000):
+        assert {r.id: set(r.removed) for r in lines.removed_lines(df, cell=cell).collect()} == want
+    assert len(want) > 10
