@@ -111,28 +111,38 @@ _PARSERS: dict[str, CrossParser] = {}
 def learn(labelled: DataFrame, text_col: str, lang_col: str, key_col: str, chars: int = 120_000) -> dict[str, str]:
     """A sample of at most `chars` characters of labelled text per language.
 
-    Rows are taken in the order of a hash of `key_col` from a share of them that holds about twice
-    the bound, so every row has the same chance. Rows with a null language, text or key are left out.
+    Rows are taken in the order of a hash of `key_col`, so every row has the same chance: first from a share of
+    them that holds about twice the bound and 30 rows, and, while that does not fill a language's
+    bound, from a share four times as large, up to all its rows. So a language fills its sample or gives
+    all its text. Rows with a null language or text are left out; those with a null key share one hash.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"), F.lower(F.col(text_col)).alias("text"), F.xxhash64(F.col(key_col)).alias("place")
     ).filter("lang is not null and text is not null")
-    totals = {r["lang"]: (r["n"], r["rows"]) for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
+    # blanks are folded before the cut, so that they take nothing of the bound; one more character tells a word's end
+    rows = rows.withColumn("text", F.substring(F.btrim(F.regexp_replace("text", r"(?U)\s+", " ")), 1, chars + 1))
+    used = F.sum(F.least(F.length("text"), F.lit(chars)))
+    totals = rows.groupBy("lang").agg(used.alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    shares = {r["lang"]: min(1.0, max(2 * chars / max(1, r["n"]), 30 / r["rows"])) for r in totals}
     unit = F.pmod("place", F.lit(1 << 40)) / float(1 << 40)
-    share = F.lit(0.0)
-    for lang, (n, _) in totals.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2 * chars / max(1, n)))).otherwise(share)
-    piece = F.substring("text", 1, chars)
-    picked = rows.filter(unit < share).select("lang", "place", piece.alias("text")).orderBy("lang", "place")
-    out: dict[str, list[str]] = {}
-    held: dict[str, int] = {}
-    for r in picked.toLocalIterator():
-        left = chars - held.get(r["lang"], 0)
-        if left > 0:
-            words = " ".join(r["text"].split())[:left] + " "
-            out.setdefault(r["lang"], []).append(words)
-            held[r["lang"]] = held.get(r["lang"], 0) + len(words)
-    return {x: "".join(t) for x, t in out.items()}
+    samples: dict[str, str] = {}
+    while shares:
+        share = F.lit(0.0)
+        for lang, x in shares.items():
+            share = F.when(F.col("lang") == lang, F.lit(x)).otherwise(share)
+        picked = rows.filter(unit < share).orderBy("lang", "place")
+        out: dict[str, list[str]] = {}
+        held: dict[str, int] = {}
+        for r in picked.toLocalIterator():
+            left = chars - held.get(r["lang"], 0)
+            if left > 0:
+                words = " ".join(r["text"].split())[:left] + " "
+                out.setdefault(r["lang"], []).append(words)
+                held[r["lang"]] = held.get(r["lang"], 0) + len(words)
+        done = [lang for lang, x in shares.items() if x >= 1 or held.get(lang, 0) >= chars]
+        samples.update({lang: "".join(out[lang]) for lang in done if lang in out})
+        shares = {lang: min(1.0, 4 * x) for lang, x in shares.items() if lang not in done}
+    return samples
 
 
 def predict(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text", memo: int = 300_000) -> DataFrame:

@@ -166,3 +166,14 @@ def test_warc_other_archives(spark, tmp_path):
     empty = scratch_path(spark, "warc")
     warc.page_records(spark.createDataFrame([], "page_id int, url string, html string")).write.format("warc").mode("append").save(empty)
     assert spark.read.format("warc").load(empty).count() == 0
+
+
+def test_language_samples_are_full(spark):
+    """A language of one or few long texts, or of texts that are mostly blanks, is learned wherever its hashes fall."""
+    rows = [(f"word{i} " * 20_000, f"l{i}", i) for i in range(12)]
+    rows += [("a b " * 40_000, "few", 100 + i) for i in range(3)]
+    rows += [("x" + " " * 900 if i else "y" * 90_000, "blank", 200 + i) for i in range(300)]
+    train = spark.createDataFrame(rows, "text string, lang string, doc_id int")
+    samples = langid.learn(train, "text", "lang", "doc_id", chars=5000)
+    assert set(samples) == {f"l{i}" for i in range(12)} | {"few", "blank"}
+    assert all(5000 <= len(t) <= 5001 for lang, t in samples.items())
