@@ -499,8 +499,10 @@ YEARS = tuple(range(1995, 2002))
     + ", round(avg(v), 4) row_mean from obs group by 1",
 )
 def a14(t):
-    d = profile.matrix_by_mean(t.obs(), "entity", "yr", "v", YEARS)
-    return rounded(d.select("entity", *[F.col(str(y)).alias(f"y{y}") for y in YEARS], "row_mean"), 4)
+    # the observed years: one row each, bounded by the calendar
+    years = [r["yr"] for r in t.obs().select("yr").where(F.col("yr").isNotNull()).distinct().orderBy("yr").collect()]
+    d = profile.matrix_by_mean(t.obs(), "entity", "yr", "v", years)
+    return rounded(d.select("entity", *[F.col(str(y)).alias(f"y{y}") for y in years], "row_mean"), 4)
 
 
 @case(

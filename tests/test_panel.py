@@ -263,3 +263,14 @@ def test_exact_quantiles(spark):
     near = profile.describe(d, ["x"], approximate=True).first()
     assert full["q50"] == pytest.approx(np.median(x)) and near["q50"] == pytest.approx(np.median(x), rel=0.05)
     assert full.asDict().keys() == near.asDict().keys()
+
+
+def test_matrix_has_all_observed_years(spark, tmp_path):
+    from panelflow.suite import QUERIES
+
+    orders = [(1, 10.0, "1991-05-01"), (1, 20.0, "1996-05-01"), (2, 5.0, "2007-01-31")]
+    df = spark.createDataFrame(orders, "o_custkey long, o_totalprice double, day string")
+    df.selectExpr("o_custkey", "o_totalprice", "cast(day as timestamp_ntz) o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["a14_matrix_by_mean"](spark, str(tmp_path))
+    assert got.columns == ["entity", "y1991", "y1996", "y2007", "row_mean"]
+    assert [tuple(r) for r in got.collect()] == [(1, 10.0, 20.0, None, 15.0), (2, None, None, 5.0, 5.0)]
