@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelflow.llm import bpe, decontam, langid, lines, quality, secrets, simhash, substrings, urls, warc
+from panelflow.llm import bpe, decontam, langid, lines, lm, quality, repair, secrets, simhash, substrings, urls, warc, whitening
 from panelflow.llm.base import table
 from panelflow.session import scratch_path
 
@@ -108,6 +108,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("id", "vec_id")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair_reports(turns, "id", copies=F.col("copies")).withColumnRenamed("id", "conv_id")
+
+
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    got = lm.score(docs, "doc_id", "text", ~F.col("held_out"))
+    return got.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -121,6 +137,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_decontamination,
         op10_substring_dedup,
+        op11_whitening,
+        op12_repair,
+        op13_lm,
     )
 }
 
