@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 
 from panelflow.functions.scalars import ratio
 from panelflow.operators.clean import numeric_columns
-from panelflow.plans.grid import missing_cells
+from panelflow.plans.grid import entity_bitmaps, missing_count, period_count
 from panelflow.plans.series import Series, scan
 
 # Aggregates per pass; wider sets are split so that one stage stays compiled.
@@ -495,18 +495,16 @@ def panel_balance(df: DataFrame, entity: str, time: str) -> DataFrame:
 
     Duplicate cells count as observations, as in a plain row count per entity.
     """
-    per = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-    missing = missing_cells(df, entity, time).agg(F.count(F.lit(1)).alias("c"))
-    periods = df.agg(F.countDistinct(time).alias("c"))
-    sizes = per.agg(
+    per = entity_bitmaps(df, entity, time)
+    missing = F.when(F.col(entity).isNotNull(), missing_count()).otherwise(0)
+    d = per.agg(
         F.count(F.lit(1)).alias("entities"),
         F.min("_n").alias("min_obs"),
         F.max("_n").alias("max_obs"),
         F.avg("_n").alias("avg_obs"),
         F.sum("_n").alias("total_obs"),
-    )
-    d = sizes.select(
-        "*", periods.scalar().alias("time_periods"), missing.scalar().alias("missing_entries")
+        F.coalesce(F.max(period_count()), F.lit(0)).alias("time_periods"),
+        F.coalesce(F.sum(missing), F.lit(0)).alias("missing_entries"),
     )
     return d.select(
         ((F.col("min_obs") == F.col("max_obs")) & (F.col("missing_entries") == 0)).alias("is_balanced"),

@@ -1,10 +1,15 @@
 """The block plan must equal the plain window on every row, at any block size."""
 
+import datetime
+import random
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from panelflow.operators import profile
 from panelflow.plans.grid import complete_grid, missing_cells
 from panelflow.plans.series import Series, frames, positions, public, scan
 
@@ -99,3 +104,44 @@ def test_missing_cells(spark):
     assert complete_grid(df.distinct(), "e", "t").count() == 9
     plan = missing_cells(df, "e", "t")._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def _direct_missing(rows):
+    periods = {t for _, t in rows if t is not None}
+    have = {(e, t) for e, t in rows if e is not None and t is not None}
+    return {(e, t) for e in {e for e, _ in have} for t in periods} - have
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "date", "string", "timestamp"])
+def test_missing_cells_of_any_period(spark, kind):
+    rng = random.Random(kind)
+    start = datetime.datetime(1969, 11, 20)
+    make = {
+        "int": lambda i: i * 7 - 300, "bigint": lambda i: (i - 60) * 10**12, "date": lambda i: (start + datetime.timedelta(days=3 * i)).date(),
+        "string": lambda i: f"p{i:03}", "timestamp": lambda i: start + datetime.timedelta(hours=i),
+    }[kind]
+    rows = [(f"e{rng.randrange(9)}", make(rng.randrange(120))) for _ in range(400)] + [(None, make(130)), ("none", None), ("e1", None)]
+    df = spark.createDataFrame(rows, f"e string, t {kind}").repartition(5)
+    got = [tuple(r) for r in missing_cells(df, "e", "t").collect()]
+    assert len(got) == len(set(got)) and set(got) == _direct_missing(rows)
+    balance = profile.panel_balance(df, "e", "t").first()
+    assert balance.missing_entries == len(got) and balance.time_periods == len({t for _, t in rows if t is not None})
+    assert balance.entities == 11 and balance.total_obs == len(rows)
+
+
+def test_missing_cells_of_nothing(spark):
+    df = spark.createDataFrame([], "e string, t int")
+    assert missing_cells(df, "e", "t").count() == 0 and complete_grid(df, "e", "t").count() == 0
+    assert profile.panel_balance(df, "e", "t").first().missing_entries == 0
+
+
+def test_missing_cells_read_the_rows_once(spark, tmp_path):
+    spark.createDataFrame([(i % 50, i % 7) for i in range(300)], "e int, t int").write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    out = missing_cells(df, "e", "t")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "Window" not in plan and "hashpartitioning(t#" not in plan
+    final = plan[: plan.rindex("== Initial Plan ==")]  # the main plan's; the subquery has its own inside
+    ran = re.sub(r"== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", final, flags=re.S)
+    assert ran.count("FileScan") <= 1
