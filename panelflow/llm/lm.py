@@ -30,7 +30,7 @@ from panelflow.llm.base import small_batches
 from panelflow.session import materialised
 
 #: Bytes of text, and texts, of a chunk; a longer text is a chunk by itself.
-CHUNK_BYTES, CHUNK_TEXTS = 16 << 20, 50_000
+CHUNK_BYTES, CHUNK_TEXTS = 8 << 20, 50_000
 #: n-grams that a bucket adds up, about.
 BUCKET_KEYS = 2_000_000
 #: Words hold no blank, so these hash like no word.
@@ -119,7 +119,7 @@ class Grams:
     def __init__(self, hashes: np.ndarray, tokens: np.ndarray, train: np.ndarray, sizes: np.ndarray, order: int) -> None:
         self.sizes, n = sizes, len(tokens)
         starts = np.cumsum(sizes + 1) - sizes - 1
-        self.place = np.arange(n) - np.repeat(starts, sizes + 1)  # in its text, from 0 for the begin mark
+        self.place = (np.arange(n) - np.repeat(starts, sizes + 1)).astype(np.int32)  # in its text, from 0 for the begin mark
         weight = np.repeat(train, sizes + 1)
         self.keys, self.counts, self.at, self.first = [], [], [], []
         keys, back = np.unique(hashes, return_inverse=True)
@@ -127,22 +127,22 @@ class Grams:
         first = np.zeros(len(keys), np.int64)
         first[rows[::-1]] = np.arange(n)[::-1]
         self._add(keys, rows, first, weight)
-        each, word = hashes[tokens], hashes[tokens]
+        each = hashes[tokens]
         for m in range(2, order + 1):
-            longer = np.zeros(n, np.uint64)
-            longer[1:] = mixed(each[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:] + np.uint64(m))
-            each = longer
-            inside = np.nonzero(self.place >= m - 1)[0]
+            each[1:] = mixed(each[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[tokens[1:]] + np.uint64(m))
+            inside = np.nonzero(self.place >= m - 1)[0].astype(np.int32)
             keys, first, back = np.unique(each[inside], return_index=True, return_inverse=True)
-            rows = np.full(n, -1)
+            rows = np.full(n, -1, np.int32)
             rows[inside] = back
-            self._add(keys, rows, inside[first], weight)
+            first = inside[first]
+            del inside, back
+            self._add(keys, rows, first, weight)
 
     def _add(self, keys, rows, first, weight) -> None:
-        counts = np.bincount(rows[rows >= 0], weights=weight[rows >= 0], minlength=len(keys))
+        counts = np.bincount(rows[weight & (rows >= 0)], minlength=len(keys))
         self.keys.append(keys)
-        self.counts.append(counts.astype(np.int64))
-        self.at.append(rows.astype(np.int32))
+        self.counts.append(counts)
+        self.at.append(rows.astype(np.int32, copy=False))
         self.first.append(first)
 
 
@@ -345,7 +345,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, train: Column, order: int
     n, train_tokens = total.n or 0, total.train or 0
     bits = max(0, int(np.ceil(np.log2(max(1, n / BUCKET_KEYS)))))
 
-    small_batches(spark, 4)  # rows are chunks
+    small_batches(spark, 1)  # a row may be a chunk
     asked = chunks.select("chunk", "train", "sizes", "words", "codes").mapInArrow(
         _requests(order, bits), "length int, bucket bigint, chunk string, keys binary, counts binary"
     )
