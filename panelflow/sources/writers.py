@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelflow.sources.storage import children, exists
+from panelflow.sources.storage import children, exists, publish
 
 
 def next_name(taken, name: str) -> str:
@@ -20,12 +20,15 @@ def next_name(taken, name: str) -> str:
 
 
 def save_csv(df: DataFrame, folder: str, name: str) -> str:
-    """Write a CSV dataset under a name that is still free; returns its path."""
+    """Write a CSV dataset under a name that is still free; returns its path.
+
+    The name is claimed by a file that only one writer can create. A writer that dies leaves its claim, and the name unused.
+    """
     if not name:
         raise ValueError("a CSV save needs a name")
     spark = df.sparkSession
     base = name.removesuffix(".csv")
-    free = next_name(lambda n: exists(spark, f"{folder}/{n}.csv"), base)
+    free = next_name(lambda n: exists(spark, f"{folder}/{n}.csv") or not publish(spark, f"{folder}/_claims/{n}", n), base)
     path = f"{folder}/{free}.csv"
     df.write.mode("errorifexists").option("header", True).csv(path)
     return path
