@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelflow.functions.scalars import mid, parse_ts, spread, stem
 from panelflow.operators.clean import dedupe, split_tick_fields, valid_ticks
-from panelflow.session import scratch_path
+from panelflow.session import materialised
 from panelflow.sources.storage import exists
 
 # The headerless bar file's columns and the tick columns.
@@ -82,24 +83,56 @@ def unique_ticks(ticks: DataFrame, keep: str = "first") -> DataFrame:
     return dedupe(ticks, ["ts", "instrument"], ["seq", "bid", "ask"], keep)
 
 
+# Partitions of a batch that are named in the read one by one; beyond that the range of dates is.
+NAMED_PARTITIONS = 5000
+
+
+def touched_partitions(batch: DataFrame) -> Column:
+    """A condition on (instrument, date) that holds for every partition of the batch's rows.
+
+    It is made of literals, so Spark leaves out all other partitions when it plans the scan. A batch with
+    more partitions than ``NAMED_PARTITIONS`` gives the range of its dates, which is wider but still prunes.
+    """
+    pairs = batch.select("instrument", "date").distinct()
+    named = pairs.limit(NAMED_PARTITIONS + 1).collect()
+    if len(named) > NAMED_PARTITIONS:
+        low, high = pairs.agg(F.min("date"), F.max("date")).first()
+        return F.col("date").between(F.lit(low), F.lit(high)) | F.col("date").isNull()
+    dates: dict = {}
+    for r in named:
+        dates.setdefault(r["instrument"], set()).add(r["date"])
+    out = F.lit(False)
+    for instrument, days in dates.items():
+        known = sorted(d for d in days if d is not None)
+        on = F.col("date").isin(known) if known else F.lit(False)
+        on = on | F.col("date").isNull() if None in days else on
+        out = out | (F.col("instrument").eqNullSafe(F.lit(instrument)) & on)
+    return out
+
+
+def stored_partitions(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
+    """The stored rows of the partitions that ``batch`` (with instrument and date) touches; no other file is opened."""
+    # Folder names are read as the batch's types: an instrument named 007 is no number.
+    kept = {f.name: f for f in batch.schema if f.name in ("instrument", "date")}
+    schema = T.StructType([kept.get(f.name, f) for f in spark.read.parquet(path).schema])
+    old = spark.read.schema(schema).parquet(path).where(touched_partitions(batch))
+    return old.join(batch.select("instrument", "date").distinct(), ["instrument", "date"], "left_semi")
+
+
 def append_merge(spark: SparkSession, new: DataFrame, path: str, keep: str = "first") -> None:
     """Merge ticks into a table partitioned by instrument and date.
 
-    Only the partitions the new rows touch are read and rewritten. The merged rows go to a
-    staging folder first, since a table cannot be overwritten while it is read. Output
+    Only the partitions the new rows touch are read and rewritten. The batch is written first, so that it is evaluated
+    once; the merged rows go to a staging folder too, since a table cannot be overwritten while it is read. Output
     partitions are rebalanced by size, so a large instrument is written by many tasks.
     """
-    new = new.withColumn("date", F.to_date("ts"))
+    new = materialised(new.withColumn("date", F.to_date("ts")), "tick-batch")
     merged = new
     if exists(spark, path):
-        touched = new.select("instrument", "date").distinct()
-        old = spark.read.parquet(path).join(touched, ["instrument", "date"], "left_semi")
-        merged = old.unionByName(new, allowMissingColumns=True)
-    staging = scratch_path(spark, "tick-merge")
-    unique_ticks(merged, keep).write.parquet(staging)
+        merged = stored_partitions(spark, path, new).unionByName(new, allowMissingColumns=True)
+    unique = materialised(unique_ticks(merged, keep), "tick-merge")
     (
-        spark.read.parquet(staging)
-        .hint("rebalance", "instrument", "date")
+        unique.hint("rebalance", "instrument", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("instrument", "date")

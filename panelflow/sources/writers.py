@@ -59,9 +59,14 @@ def first_free_run_id(spark: SparkSession, path: str) -> int:
 
 
 def save_run(df: DataFrame, path: str, parameters: dict[str, str] | None = None) -> int:
-    """Store results, and their parameters, below the next run id."""
+    """Store results, and their parameters, below the next run id.
+
+    The id is claimed by a file that only one writer can create, so two writers never share one.
+    """
     spark = df.sparkSession
     run = next_run_id(spark, f"{path}/results")
+    while not publish(spark, f"{path}/_claims/{run}", str(run)):
+        run += 1
     df.write.mode("errorifexists").parquet(f"{path}/results/run_id={run}")
     if parameters:
         rows = [(k, str(v)) for k, v in parameters.items()]

@@ -90,6 +90,42 @@ def test_append_merge(spark, tmp_path, keep, price):
         assert got == {("A", t0): price, ("A", t1): 5.0, ("B", t0): 7.0, ("C", t0): 3.0}
 
 
+def _files_read(df):
+    """Files that the scans of a frame opened."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution()
+        plan.toRdd().count()
+        leaves = plan.executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return sum(s.metrics().apply("numFiles").value() for s in scans if s.metrics().contains("numFiles"))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("named", [5000, 2])
+def test_append_merge_reads_touched_partitions_only(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(ticks, "NAMED_PARTITIONS", named)
+    path, day = str(tmp_path / "ticks"), dt.timedelta(days=1)
+    row = lambda i, name, seq, bid: (dt.datetime(2024, 1, 1) + i * day, name, bid, bid + 1, bid, 1.0, seq)
+    shape = "ts timestamp, instrument string, bid double, ask double, mid double, spread double, seq int"
+    old = [row(i, name, 1, 1.0) for i in range(30) for name in ("007", "A/B", "plain")]
+    ticks.append_merge(spark, spark.createDataFrame(old, shape), path)
+    everything = spark.read.parquet(path)
+    assert _files_read(everything) == 90
+    new = [row(4, "007", 2, 5.0), row(4, "A/B", 2, 6.0), row(5, "007", 2, 7.0), row(40, "new", 2, 8.0)]
+    batch = spark.createDataFrame(new, shape).withColumn("date", F.to_date("ts"))
+    stored = ticks.stored_partitions(spark, path, batch)
+    assert sorted((r.instrument, r.date.day) for r in stored.collect()) == [("007", 5), ("007", 6), ("A/B", 5)]
+    assert _files_read(stored) == (3 if named == 5000 else 78)  # all of the 26 days from the first touched one
+    ticks.append_merge(spark, spark.createDataFrame(new, shape), path, keep="last")
+    got = {(r.instrument, r.ts): r.bid for r in spark.read.parquet(path).collect()}
+    assert len(got) == 91
+    first = {(r[1], r[0]): r[2] for r in old} | {(r[1], r[0]): r[2] for r in new}
+    assert got == first
+
+
 def test_versioned_saves(spark, tmp_path):
     d = spark.range(3)
     folder = str(tmp_path)
