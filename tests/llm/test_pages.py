@@ -160,7 +160,7 @@ def test_warc_other_archives(spark, tmp_path):
     warc.register(spark)
     df = spark.read.format("warc").load(str(tmp_path))
     assert sorted((r.record_type, r.record_id or "", r.payload_bytes or 0) for r in df.collect()) == sorted(
-        [("warcinfo", "", 0), ("response", "<urn:x:1>", 200_000), ("response", "<urn:x:2>", 5)] * 2
+        [("warcinfo", "", 3), ("response", "<urn:x:1>", 200_000), ("response", "<urn:x:2>", 5)] * 2
     )
     assert df.filter("record_id = '<urn:x:2>'").select("payload").distinct().collect()[0][0] == b"small"
     empty = scratch_path(spark, "warc")
