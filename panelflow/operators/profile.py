@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from panelflow.functions.scalars import ratio
@@ -54,35 +55,27 @@ LEAST_CELLS = 256
 
 
 def quantile_brackets(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
-    """(column, n, point, h, lo, hi, cells): a value interval that holds the wanted ranks.
+    """(column, n, point, h, lo, hi, cells): a value interval that holds the wanted ranks, in one pass.
 
-    ``h`` is the wanted rank from 0, with a fraction. The interval's ends are the sketch's values one
-    rank and twice its error bound outside of it, clipped to the smallest and largest value;
-    this one rule holds for all numbers of rows. The rows are counted first, because the
-    sketch takes its ranks as constants.
+    ``h`` is the wanted rank from 0, with a fraction. Its two neighbours lie at most 2 / n from the point, so from
+    ``SKETCH_ACCURACY`` rows on the sketch's values at four times its error bound to either side are
+    outside of them; below that the smallest and the largest value are the ends. Columns without a value have no row.
     """
-    counted = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     aggs, entries, slack = [], [], 2.0 / SKETCH_ACCURACY
+    sides = [min(max(p + side * 2 * slack, 0.0), 1.0) for side in (-1, 1) for p in points]
     for i, c in enumerate(columns):
-        n = counted[i]
-        if n == 0:
-            continue
-        h = [(n - 1) * p for p in points]
-        low = [max((x - 1) / n - slack, 0.0) for x in h]
-        high = [min((x + 2) / n + slack, 1.0) for x in h]
-        bounds = F.percentile_approx(F.col(c).cast("double"), [*low, *high], SKETCH_ACCURACY)
-        aggs.append(bounds.alias(f"b{i}"))
-        cells = max(LEAST_CELLS, math.ceil(2 * slack * n / CELL_ROWS))
-        for k in range(len(points)):
-            ends = [F.get(f"b{i}", F.lit(k + shift)) for shift in (0, len(points))]
-            named = {"column": F.lit(c), "n": F.lit(n).cast("long"), "point": F.lit(k), "h": F.lit(float(h[k])), "lo": ends[0], "hi": ends[1]}
-            named["cells"] = F.lit(cells).cast("long")
+        v, n = F.col(c).cast("double"), F.col(f"n{i}")
+        aggs += [F.count(c).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        aggs.append(F.percentile_approx(v, sides, SKETCH_ACCURACY).alias(f"b{i}"))
+        cells = F.greatest(F.lit(LEAST_CELLS), F.ceil(n * (4 * slack / CELL_ROWS))).cast("long")
+        for k, p in enumerate(points):
+            ends = []
+            for shift, whole, outside in ((0, f"lo{i}", p <= 2 * slack), (len(points), f"hi{i}", p >= 1 - 2 * slack)):
+                near = F.col(whole) if outside else F.get(f"b{i}", F.lit(k + shift))
+                ends.append(F.when(n < SKETCH_ACCURACY, F.col(whole)).otherwise(near))
+            named = {"column": F.lit(c), "n": n, "point": F.lit(k), "h": (n - 1) * F.lit(p), "lo": ends[0], "hi": ends[1], "cells": cells}
             entries.append(F.struct(*[v.alias(name) for name, v in named.items()]))
-    if not entries:
-        return df.sparkSession.createDataFrame(
-            [], "column string, n long, point int, h double, lo double, hi double, cells long"
-        )
-    return _rows(_wide_agg(df, aggs), entries)
+    return _rows(_wide_agg(df, aggs), entries).where("n > 0")
 
 
 def quantile_cells(df: DataFrame, columns: Sequence[str], brackets: DataFrame) -> DataFrame:
@@ -106,8 +99,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[floa
     A bounded sketch gives a narrow bracket around each quantile. Its rows are counted per cell,
     which tells the one or two cells that hold the wanted ranks; only the rows of these are
     counted per value and put in order. The number of cells follows the number of rows, so a
-    cell stays small. A rank outside its bracket is an error, never a wrong value. Counts the
-    rows when called.
+    cell stays small. A rank outside its bracket is an error, never a wrong value.
     """
     columns, points = list(columns), [float(p) for p in points]
     box = quantile_brackets(df, columns, points)
@@ -586,46 +578,90 @@ def tick_quality(df: DataFrame, ts: str, instrument: str) -> DataFrame:
     )
 
 
-def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """(dataset, column, metric, value) for every table.
+# A value longer than this is compared by its digest, so that texts are not shuffled.
+LONG_VALUE = 32
+# Characters of a value that a profile shows.
+SHOWN = 60
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """The same equalities between rows and columns with long text and nested values as digests."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(F.length(c) > LONG_VALUE, F.sha2(c, 256)).otherwise(c)
+        elif isinstance(f.dataType, T.BinaryType):
+            c = F.sha2(c, 256)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            c = F.sha2(F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"}), 256)
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
 
-    The loop is over tables, which is the size of a catalog listing; each table's profile
-    stays a Spark job and the rows are never collected.
+def shown(field: T.StructField) -> Column:
+    """A value as a short text; nested values as their size."""
+    c = F.col(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return c.cast("decimal(38,4)").cast("string")
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType)):
+        return F.when(c.isNotNull(), F.size(c)).cast("string")
+    return F.substring((F.to_json(c) if isinstance(field.dataType, T.StructType) else c.cast("string")), 1, SHOWN)
+
+
+def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """(column, metric, value): the first rows in the order of all plain columns, as ``first_1`` and so on.
+
+    Each task keeps its n first rows, so nothing is sorted as a whole.
     """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    order = [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
+    texts = [shown(f) for f in df.schema.fields]
+    d = df.select(F.struct(*order).alias("at"), F.array(*texts).alias("v")).orderBy("at").limit(n)
+    rows = d.agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("r")).select(F.posexplode("r").alias("i", "r"))
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.get("r.v", F.lit(k)).alias("value")) for k, c in enumerate(df.columns)])
+    metric = F.concat(F.lit("first_"), (F.col("i") + 1).cast("string"))
+    return rows.select(metric.alias("metric"), F.inline(each)).select("column", "metric", "value")
+
+
+def table_profile(df: DataFrame, name: str) -> DataFrame:
+    """(dataset, column, metric, value): shape, types, first rows, missing and distinct values, description, verdicts.
+
+    One query. Long texts and nested values take part in duplicates and distinct counts by their digests.
+    """
+    text = lambda c: F.col(c).cast("string")
+    fields = df.schema.fields
+    entry = lambda c, m, v: F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.alias("value"))
+    fixed = [entry("", "columns", F.lit(str(len(fields))))]
+    fixed += [entry(f.name, "type", F.lit(f.dataType.simpleString())) for f in fields]
+    short = narrow(df)
+    fit = suitability(df, name)
+    codes = F.array_join(F.transform("reasons", lambda r: r["code"]), ",")
+    parts = [
+        _rows(df.agg(F.count(F.lit(1)).alias("r")), [entry("", "rows", text("r")), *fixed]),
+        _rows(fit, [entry("", "linear_verdict", F.col("linear_verdict")), entry("", "forest_verdict", F.col("forest_verdict")), entry("", "reasons", codes)]),
+        duplicates(short).select(F.lit("").alias("column"), F.lit("duplicates").alias("metric"), text("duplicates").alias("value")),
+        missing_by_column(df).select("column", F.lit("missing").alias("metric"), text("missing").alias("value")),
+        distinct_counts(short, short.columns).select("column", F.lit("distinct").alias("metric"), text("distinct_values").alias("value")),
+        first_rows(df),
+    ]
+    if numeric_columns(df):
+        stats = ["mean", "std", "min", "q25", "q50", "q75", "max"]
+        described = metric_report(describe(df), stats, ["column"])
+        parts.append(described.select("column", "metric", F.col("value").cast("decimal(38,4)").cast("string").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.lit(name).alias("dataset"), "column", "metric", "value")
+
+
+def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """``table_profile`` of every table; ``sources.directory`` does so for files, of which some may be broken."""
     out = None
     for name, df in tables.items():
-        text = lambda c: F.col(c).cast("string")
-        parts = [
-            _rows(
-                df.agg(F.count(F.lit(1)).alias("r")),
-                [
-                    F.struct(F.lit("").alias("column"), F.lit("rows").alias("metric"), text("r").alias("value")),
-                    F.struct(
-                        F.lit("").alias("column"), F.lit("columns").alias("metric"),
-                        F.lit(str(len(df.columns))).alias("value"),
-                    ),
-                ],
-            ),
-            duplicates(df).select(
-                F.lit("").alias("column"), F.lit("duplicates").alias("metric"), text("duplicates").alias("value")
-            ),
-            missing_by_column(df).select("column", F.lit("missing").alias("metric"), text("missing").alias("value")),
-            distinct_counts(df, df.columns).select(
-                "column", F.lit("distinct").alias("metric"), text("distinct_values").alias("value")
-            ),
-        ]
-        if numeric_columns(df):
-            d = describe(df)
-            stats = ["mean", "std", "min", "q25", "q50", "q75", "max"]
-            parts.append(
-                metric_report(d, stats, ["column"]).select(
-                    "column", "metric", F.round("value", 6).cast("string").alias("value")
-                )
-            )
-        one = parts[0]
-        for p in parts[1:]:
-            one = one.unionByName(p)
-        one = one.select(F.lit(name).alias("dataset"), "column", "metric", "value")
+        one = table_profile(df, name)
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -32,6 +32,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Every data file of a path, a folder's at any depth; hidden files and folders are left out."""
+    fs, p = _fs(spark, path)
+    out, left = [], [s for s in (fs.globStatus(p) or [])]
+    while left:
+        s = left.pop()
+        if s.isDirectory():
+            left.extend(c for c in fs.listStatus(s.getPath()) if c.getPath().getName()[:1] not in ("_", "."))
+        else:
+            out.append(s.getPath().toString())
+    return sorted(out)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library wrote; nothing happens if it is gone."""
     fs, p = _fs(spark, path)

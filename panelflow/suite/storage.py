@@ -2,79 +2,91 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from panelflow.operators import clean, ml
-from panelflow.session import materialised, scratch_path
+from panelflow.session import scratch_path
 from panelflow.sources import artifacts, catalog, readers, writers
+from panelflow.sources.commits import CommitCatalog
 from panelflow.suite.registry import case, rounded
 
 
-@case("s07_directory", "select n_nationkey, n_name, n_regionkey, true as has_name from nation")
+@case("s07_directory", "select o_orderkey, o_custkey, o_orderpriority, true as has_name from orders")
 def s07(t):
     path = scratch_path(t.spark, "directory")
-    t.nation.repartition(3, "n_regionkey").write.csv(path)
-    d = readers.read_directory(t.spark, f"{path}/*.csv", t.nation.schema, name="file")
-    return d.withColumn("has_name", F.length("file") > 0).drop("file")
+    d = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    d.write.csv(path)
+    back = readers.read_directory(t.spark, f"{path}/*.csv", d.schema, name="file")
+    return back.withColumn("has_name", F.length("file") > 0).drop("file")
 
 
 @case(
     "s08_versioned_save",
-    """select file, count(*) as "rows" from nation, (values ('nation.csv'), ('nation_1.csv'), ('nation_2.csv')) v(file)
-    group by 1""",
+    """select name, count(*) as "rows", cast(sum(o_custkey) as bigint) as custkeys
+    from orders, (values ('orders'), ('orders.csv'), ('orders_1'), ('orders_1.csv')) v(name) group by 1""",
 )
 def s08(t):
-    folder, out = scratch_path(t.spark, "versions"), None
-    for _ in range(3):
-        path = writers.save_csv(t.nation, folder, "nation")
-        one = readers.read_csv(t.spark, path, t.nation.schema).agg(F.count(F.lit(1)).alias("rows"))
-        one = one.select(F.lit(path.rsplit("/", 1)[-1]).alias("file"), "rows")
+    """Two saves as tables of a commit catalog and two as CSV datasets, each under a name of its own."""
+    folder = scratch_path(t.spark, "versions")
+    store, d = CommitCatalog(t.spark, f"{folder}/catalog"), t.orders.select("o_orderkey", "o_custkey")
+    saved = {}
+    for _ in range(2):
+        name = store.save(d, "orders")
+        saved[name] = store.read(name)
+        path = writers.save_csv(d, folder, "orders")
+        saved[path.rsplit("/", 1)[-1]] = readers.read_csv(t.spark, path, d.schema)
+    out = None
+    for name, one in saved.items():
+        one = one.agg(F.count(F.lit(1)).alias("rows"), F.sum("o_custkey").alias("custkeys")).select(F.lit(name).alias("name"), "rows", "custkeys")
         out = one if out is None else out.unionByName(one)
     return out
 
 
 @case(
     "s09_idempotent_load",
-    """select 'nation.csv' as file, 'nation' as "table", count(*) as "rows", 3 as columns, 'present' as again from nation
-    union all select 'region.csv', 'region', count(*), 2, 'present' from region""",
+    """select 'lineitem.csv' as file, 'lineitem' as "table", count(*) as "rows", 3 as columns, 'loaded' as first, 'present' as again from lineitem
+    union all select 'orders.csv', 'orders', count(*), 2, 'loaded', 'present' from orders""",
 )
 def s09(t):
-    folder, mark = scratch_path(t.spark, "loads"), uuid.uuid4().hex
-    for name in ("nation", "region"):
-        getattr(t, name).write.option("header", True).csv(f"{folder}/{name}.csv")
-    manifest = f"manifest_{mark}"
-    first = catalog.sync_csv_directory(t.spark, folder, manifest, prefix=f"load_{mark}_")
-    again = catalog.sync_csv_directory(t.spark, folder, manifest, prefix=f"load_{mark}_")
-    d = catalog.read_manifest(t.spark, manifest)
-    told = F.create_map(*[F.lit(x) for path, what in again.items() for x in (path.rsplit("/", 1)[-1], what)])
-    d = d.select("file", F.regexp_replace("table", f"^load_{mark}_", "").alias("table"), "rows", "columns", F.get(F.array(told), F.lit(0))[F.col("file")].alias("again"))
-    d = materialised(d, "manifest")
-    for name in [manifest, *(f"load_{mark}_{p.rsplit('/', 1)[-1].removesuffix('.csv')}" for p in first)]:
-        t.spark.sql(f"drop table if exists {name}")
-    return d
+    """Every file is loaded once, the table and the note of its file in one commit."""
+    folder = scratch_path(t.spark, "loads")
+    sources = {"orders": t.orders.select("o_orderkey", "o_totalprice"), "lineitem": t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")}
+    files = {}
+    for name, d in sources.items():
+        d.write.option("header", True).csv(f"{folder}/{name}.csv")
+        files[f"{name}.csv"] = (name, readers.read_csv(t.spark, f"{folder}/{name}.csv", d.schema))
+    store = CommitCatalog(t.spark, f"{folder}/catalog")
+    done = [store.sync(files) for _ in range(2)]
+    told = [F.create_map(*[F.lit(x) for pair in d.items() for x in pair])[F.col("file")] for d in done]
+    return store.manifest().drop("loaded_at").select("file", "table", "rows", "columns", told[0].alias("first"), told[1].alias("again"))
 
 
 @case(
     "s10_refresh_copy",
-    """select 'nation' as "table", count(*) as "rows" from nation where n_nationkey >= 10
-    union all select 'region', count(*) from region""",
+    """select 'orders' as "table", count(*) as "rows", 2 as versions from orders where o_custkey % 3 = 0
+    union all select 'lineitem', count(*), 2 from lineitem
+    union all select 'orders before', count(*), 2 from orders""",
 )
 def s10(t):
-    path = scratch_path(t.spark, "copies")
-    catalog.refresh_copy({"nation": t.nation, "region": t.region}, path)
-    catalog.refresh_copy({"nation": t.nation.where("n_nationkey >= 10"), "region": t.region.where("false")}, path)
-    return catalog.table_counts({n: t.spark.read.parquet(f"{path}/{n}") for n in ("nation", "region")})
+    """Two refreshes, each one commit; an empty source keeps its table, and a reader its version."""
+    store = CommitCatalog(t.spark, scratch_path(t.spark, "copies"))
+    orders, lines = t.orders.select("o_orderkey", "o_custkey"), t.lineitem.select("l_orderkey", "l_linenumber")
+    store.refresh({"orders": orders, "lineitem": lines})
+    before = store.read("orders")
+    store.refresh({"orders": orders.where("o_custkey % 3 = 0"), "lineitem": lines.where("false")})
+    counts = catalog.table_counts({**store.tables(), "orders before": before})
+    return counts.withColumn("versions", F.lit(len(store.versions())))
 
 
 @case(
     "s11_artifacts",
-    """select 'text' as file_type, count(distinct n_regionkey) as files, count(*) as "lines", 0 as added_again from nation""",
+    """select 'text' as file_type, count(distinct doc_id // 50) as files, count(*) as "lines", 0 as added_again from documents""",
 )
 def s11(t):
+    """One text file for fifty documents, a line each."""
     path, store = scratch_path(t.spark, "artifacts"), scratch_path(t.spark, "artifact-catalog")
-    t.nation.repartition("n_regionkey").write.partitionBy("n_regionkey").csv(path)
+    d = t.documents.select(F.concat_ws(" ", "doc_id", "lang", "source").alias("value"), F.floor(F.col("doc_id") / 50).alias("part"))
+    d.repartition("part").write.partitionBy("part").text(path)
     artifacts.sync_artifacts(t.spark, path, store)
     again = artifacts.sync_artifacts(t.spark, path, store)
     lines = F.sum(F.size(F.split("content", "\n")) - 1).alias("lines")
@@ -84,30 +96,33 @@ def s11(t):
 
 @case(
     "s12_union_export",
-    """select n_nationkey::varchar as "_id", case when n_nationkey % 2 = 0 then n_name end as a,
-       case when n_nationkey % 2 = 1 then n_regionkey::varchar end as b from nation""",
+    """select o_orderkey::varchar as "_id", case when o_orderkey % 2 = 0 then o_orderpriority end as a,
+       case when o_orderkey % 2 = 1 then o_custkey::varchar end as b from orders""",
 )
 def s12(t):
     source, target = scratch_path(t.spark, "documents"), scratch_path(t.spark, "export")
-    even = F.to_json(F.struct(F.col("n_nationkey").alias("_id"), F.col("n_name").alias("a")))
-    odd = F.to_json(F.struct(F.col("n_nationkey").alias("_id"), F.col("n_regionkey").alias("b")))
-    t.nation.select(F.when(F.col("n_nationkey") % 2 == 0, even).otherwise(odd)).write.text(source)
+    even = F.to_json(F.struct(F.col("o_orderkey").alias("_id"), F.col("o_orderpriority").alias("a")))
+    odd = F.to_json(F.struct(F.col("o_orderkey").alias("_id"), F.col("o_custkey").alias("b")))
+    t.orders.select(F.when(F.col("o_orderkey") % 2 == 0, even).otherwise(odd)).write.text(source)
     path = writers.export_documents(t.spark, source, target)
     return readers.read_csv(t.spark, path, '_id string, a string, b string')
 
 
 @case(
     "s14_run_registry",
-    """select 1 as run_id, count(*) as "rows", 'nation' as source from nation
-    union all select 2, count(*), 'region' from region""",
+    """select 1 as run_id, count(distinct o_custkey) as "rows", 'orders by customer' as source from orders
+    union all select 2, count(distinct l_partkey), 'lineitem by part' from lineitem""",
 )
 def s14(t):
-    path = scratch_path(t.spark, "runs")
-    for name in ("nation", "region"):
-        writers.save_run(getattr(t, name).select(F.lit(name).alias("source")), path, {"source": name})
-    rows = t.spark.read.parquet(f"{path}/results").groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
-    named = t.spark.read.parquet(f"{path}/parameters").where("name = 'source'").select("run_id", F.col("value").alias("source"))
-    return rows.join(named, "run_id").select("run_id", "rows", "source")
+    store = CommitCatalog(t.spark, scratch_path(t.spark, "runs"))
+    store.save_run(t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("v")), {"source": "orders by customer"})
+    store.save_run(t.lineitem.groupBy("l_partkey").agg(F.sum("l_quantity").alias("v")), {"source": "lineitem by part"})
+    out = None
+    for run in store.runs():
+        rows, parameters = store.run(run)
+        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(run).alias("run_id"), "rows", F.lit(parameters["source"]).alias("source"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @case("k05_limit", "select least(10, count(*)) as n from orders where o_custkey % 2 = 0")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelflow.functions.scalars import entity_code, safe_name, slug
 from panelflow.operators import clean, profile
 from panelflow.session import scratch_path
-from panelflow.sources import catalog, readers, ticks, writers
+from panelflow.sources import catalog, directory, readers, ticks, writers
 from panelflow.suite.registry import SQL_LINES, SQL_PANEL, SQL_OBS, SQL_TICKS, case, micros, rnd, rounded
 
 DRIVER_TABLES = (
@@ -15,6 +15,100 @@ DRIVER_TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Their columns and types, for the SQL twins.
+TABLE_COLUMNS = {
+    name: dict(c.split(" ") for c in columns.split(", "))
+    for name, columns in {
+        "region": "r_regionkey int, r_name string",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+        "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+        "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+        "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+        "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+        "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+        "embeddings": "vec_id bigint, embedding array<float>, label int",
+        "pages": "page_id bigint, url string, html string",
+        "benchmark": "item_id bigint, text string",
+        "labels": "doc_id bigint, quality int, toxic int",
+        "conversations": "conv_id bigint, turn bigint, role string, text string",
+    }.items()
+}
+
+
+def _column_sql(table: str, c: str, kind: str) -> list[str]:
+    row = lambda m, e, frm=table: f"""select '{table}' dataset, '{c}' as "column", '{m}' metric, {e} as "value" from {frm}"""
+    out = [row("type", f"'{kind}'", "(select 1)"), row("missing", f"count_if({c} is null)::varchar")]
+    out.append(row("distinct", f"(count(distinct {c}) + coalesce(max(({c} is null)::int), 0))::varchar"))
+    if kind in NUMERIC_TYPES:
+        for m, e in {
+            "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})", "q25": f"quantile_cont({c}, 0.25)",
+            "q50": f"quantile_cont({c}, 0.5)", "q75": f"quantile_cont({c}, 0.75)", "max": f"max({c})",
+        }.items():
+            out.append(row(m, f"(({e})::double)::decimal(38,4)::varchar"))
+    return out
+
+
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _shown_sql(c: str, kind: str) -> str:
+    if kind in ("float", "double"):
+        return f"({c}::double)::decimal(38,4)::varchar"
+    if kind.startswith("timestamp"):
+        return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+    return f"len({c})::varchar" if kind.startswith("array") else f"substring({c}::varchar, 1, 60)"
+
+
+def _suitability_sql(table: str, columns: dict[str, str]) -> str:
+    """The measured numbers and the codes of ``profile.suitability`` as one row."""
+    numeric = [c for c, kind in columns.items() if kind in NUMERIC_TYPES]
+    y = numeric[-1] if numeric else "null"
+    rs = [
+        f"case when regr_sxx({c}, {y}) > 0 and regr_syy({c}, {y}) > 0 then abs(regr_sxy({c}, {y}) / sqrt(regr_sxx({c}, {y}) * regr_syy({c}, {y}))) end"
+        for c in numeric[:-1]
+    ]
+    cells = " + ".join(f"count_if({c} is null)" for c in columns)
+    r = f"greatest({', '.join(rs)})" if len(rs) > 1 else rs[0] if rs else "null::double"
+    spread = f"var_pop({y}::double)" if numeric else "null::double"
+    return f"""(select '{table}' dataset, n, {len(numeric)} k, share,
+      list_filter([
+        case when n < 200 then {{'code': 'few_rows', 'value': n::double}} end,
+        case when {len(numeric)} < 2 then {{'code': 'few_numeric', 'value': {len(numeric)}::double}} end,
+        case when share > 0.3 then {{'code': 'missing_share', 'value': share}} end,
+        case when spread = 0 then {{'code': 'flat_target', 'value': spread}} end,
+        case when n >= 200 and {len(numeric)} >= 2 and r < 0.1 then {{'code': 'weak_r', 'value': r}} end], lambda x: x is not null) reasons
+      from (select count(*) n, ({cells})::double / nullif(count(*) * {len(columns)}, 0) share, {spread} spread, {r} r from {table}))"""
+
+
+UNFIT_SQL = "list_contains(list_transform(reasons, lambda x: x.code), 'few_numeric')"
+FLAT_SQL = "list_contains(list_transform(reasons, lambda x: x.code), 'flat_target')"
+LINEAR_SQL = f"case when {UNFIT_SQL} then 'no' when {FLAT_SQL} then 'caveats' else 'yes' end"
+FOREST_SQL = f"case when {UNFIT_SQL} or {FLAT_SQL} then 'no' else 'yes' end"
+
+
+def _profile_sql(table: str, columns: dict[str, str], name: str | None = None) -> str:
+    """The SQL twin of ``profile.table_profile``."""
+    row = lambda m, e, frm: f"""select '{table}' dataset, '' as "column", '{m}' metric, {e} as "value" from {frm}"""
+    every = ", ".join(columns)
+    fit = _suitability_sql(table, columns)
+    parts = [
+        row("rows", "count(*)::varchar", table), row("columns", f"'{len(columns)}'", "(select 1)"),
+        row("duplicates", "coalesce(cast(sum(n - 1) as bigint), 0)::varchar", f"(select count(*) n from {table} group by {every})"),
+        row("linear_verdict", LINEAR_SQL, fit), row("forest_verdict", FOREST_SQL, fit),
+        row("reasons", "array_to_string(list_transform(reasons, lambda x: x.code), ',')", fit),
+    ]
+    for c, kind in columns.items():
+        parts += _column_sql(table, c, kind)
+    order = ", ".join(f"{c} nulls first" for c, kind in columns.items() if not kind.startswith("array"))
+    head = f"(select *, row_number() over (order by {order}) i from {table} qualify i <= 5)"
+    parts += [f"""select '{table}', '{c}', concat('first_', i), {_shown_sql(c, kind)} from {head}""" for c, kind in columns.items()]
+    out = " union all ".join(parts)
+    return out if name is None else f"""select '{name}' dataset, "column", metric, "value" from ({out})"""
+
 
 # --- sources -------------------------------------------------------------------------
 
@@ -517,13 +611,23 @@ def a16(t):
     return rounded(profile.histogram(t.events, "value", 50), density=8)
 
 
-@case("a17_suitability")
+@case(
+    "a17_suitability",
+    " union all ".join(
+        f"""select dataset, n as "rows", {sum(k in NUMERIC_TYPES for k in c.values())} numeric_columns, round(share, 6) missing_ratio,
+        {LINEAR_SQL} linear_verdict, {FOREST_SQL} forest_verdict,
+        array_to_string(list_transform(reasons, lambda x: concat(x.code, ' ', x.value::decimal(18,4))), ', ') reasons
+        from {_suitability_sql(n, c)}"""
+        for n, c in TABLE_COLUMNS.items()
+    ),
+)
 def a17(t):
     d = None
     for name in DRIVER_TABLES:
         one = profile.suitability(getattr(t, name), name)
         d = one if d is None else d.unionByName(one)
-    return d
+    told = F.transform("reasons", lambda r: F.concat_ws(" ", r["code"], r["value"].cast("decimal(18,4)").cast("string")))
+    return rounded(d.withColumn("reasons", F.array_join(told, ", ")))
 
 
 @case(
@@ -614,39 +718,27 @@ def a28(t):
     )
 
 
-def _profile_sql(table: str, columns: list[str], numeric: list[str]) -> str:
-    cols = ", ".join(columns)
-    parts = [
-        f"""select '{table}' dataset, '' as "column", 'rows' metric, count(*)::varchar as "value" from {table}""",
-        f"select '{table}', '', 'columns', '{len(columns)}'",
-        f"select '{table}', '', 'duplicates', cast(sum(n - 1) as bigint)::varchar from (select count(*) n from {table} group by {cols})",
-    ]
-    for c in columns:
-        parts.append(f"select '{table}', '{c}', 'missing', count_if({c} is null)::varchar from {table}")
-        parts.append(f"select '{table}', '{c}', 'distinct', count(distinct {c})::varchar from {table}")
-    for c in numeric:
-        for name, e in {
-            "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})", "q25": f"quantile_cont({c}, 0.25)",
-            "q50": f"quantile_cont({c}, 0.5)", "q75": f"quantile_cont({c}, 0.75)", "max": f"max({c})",
-        }.items():
-            parts.append(f"select '{table}', '{c}', '{name}', round(({e})::double, 6)::varchar from {table}")
-    return " union all ".join(parts)
+BROKEN_SQL = """select 'nation_with_a_broken_file' dataset, 'part' as "column", 'error' metric, 'CANNOT_READ_FILE_FOOTER' as "value"
+    union all select 'only_a_broken_file', 'part', 'error', 'CANNOT_READ_FILE_FOOTER'"""
 
 
 @case(
     "a29_dataset_profile",
     " union all ".join(
-        [
-            _profile_sql("region", ["r_regionkey", "r_name"], ["r_regionkey"]),
-            _profile_sql("nation", ["n_nationkey", "n_name", "n_regionkey"], ["n_nationkey", "n_regionkey"]),
-            _profile_sql(
-                "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], ["s_suppkey", "s_nationkey", "s_acctbal"]
-            ),
-        ]
+        [*(_profile_sql(n, c) for n, c in TABLE_COLUMNS.items()), _profile_sql("nation", TABLE_COLUMNS["nation"], "nation_with_a_broken_file"), BROKEN_SQL]
     ),
 )
 def a29(t):
-    return profile.dataset_profile({n: getattr(t, n) for n in ("region", "nation", "supplier")})
+    """All tables, one of them again with a broken file among its files, and a dataset that is nothing but broken."""
+    mixed, broken = scratch_path(t.spark, "mixed"), scratch_path(t.spark, "broken")
+    t.nation.repartition(3).write.parquet(mixed)
+    words = t.region.select(F.col("r_name").alias("value")).coalesce(1)
+    words.write.mode("append").text(mixed)
+    words.write.text(broken)
+    datasets = {n: f"{t.root}/{n}.parquet" for n in DRIVER_TABLES}
+    datasets |= {"nation_with_a_broken_file": mixed, "only_a_broken_file": broken}
+    d = directory.profile_directory(t.spark, datasets)
+    return d.withColumn("column", F.when(F.col("metric") == "error", F.regexp_replace("column", "^part-.*", "part")).otherwise(F.col("column")))
 
 
 # --- top-k and samples ---------------------------------------------------------------
