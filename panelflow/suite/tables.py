@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelflow.functions.scalars import entity_code, safe_name, slug
-from panelflow.operators import clean, profile
+from panelflow.operators import clean, gram, profile
 from panelflow.session import scratch_path
 from panelflow.sources import catalog, directory, readers, ticks, writers
-from panelflow.suite.registry import SQL_LINES, SQL_PANEL, SQL_OBS, SQL_TICKS, case, micros, rnd, rounded
+from panelflow.suite.registry import PANEL, SQL_LINES, SQL_PANEL, SQL_OBS, SQL_TICKS, case, micros, rnd, rounded
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -573,6 +573,54 @@ def a12(t):
     return rounded(profile.correlation_matrix(t.lineitem, DESCRIBED))
 
 
+# Columns with gaps of their own, more than one pass of aggregates holds.
+MASKED = [f"m{i}" for i in range(24)]
+MASKED_OF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey"]
+MASKED_SQL = ", ".join(
+    f"case when (l_orderkey + {7 * i} * l_linenumber) % {5 + i} < {2 + i} then {MASKED_OF[i % 6]}::double * {1 + i % 4} + l_linenumber * {i} end m{i}" for i in range(24)
+)
+
+
+def masked(t):
+    gap = lambda i: (F.col("l_orderkey") + 7 * i * F.col("l_linenumber")) % (5 + i) < 2 + i
+    value = lambda i: F.col(MASKED_OF[i % 6]).cast("double") * (1 + i % 4) + F.col("l_linenumber") * i
+    return t.lineitem.select(*[F.when(gap(i), value(i)).alias(f"m{i}") for i in range(24)])
+
+
+def _pairs_sql(columns: list[str], frm: str) -> str:
+    """(var1, var2, n, r) of every pair in SQL; a constant column's r is null."""
+    return " union all ".join(
+        f"""select '{a}' var1, '{b}' var2, count(case when {b} is not null then {a} end) n,
+        case when regr_sxx({a}, {b}) > 0 and regr_syy({a}, {b}) > 0 then round(corr({a}, {b}), 6) end r from {frm}"""
+        for a in columns
+        for b in columns
+    )
+
+
+@case("a12_corr_masked", f"with d as materialized (select {MASKED_SQL} from lineitem) {_pairs_sql(MASKED, 'd')}")
+def a12_masked(t):
+    return rounded(gram.pairwise_correlations(masked(t), MASKED))
+
+
+@case(
+    "a12_corr_differences",
+    f"""with {SQL_PANEL}, steps as materialized (
+      select v - lag(v) over w v, n - lag(n) over w n from panel window w as (partition by entity order by yr))
+    {_pairs_sql(["v", "n"], "steps")}""",
+)
+def a12_differences(t):
+    return rounded(gram.difference_correlations(t.panel(), PANEL, ["v", "n"]))
+
+
+@case(
+    "a12_best_partners",
+    f"""with d as materialized (select {MASKED_SQL} from lineitem), pairs as ({_pairs_sql(MASKED, "d")})
+    select var1, round(max(abs(r)), 6) abs_r from pairs where var1 <> var2 group by 1""",
+)
+def a12_best(t):
+    return rounded(gram.best_partners(masked(t), MASKED).select("var1", "abs_r"))
+
+
 @case(
     "a13_pivot",
     """select l_suppkey, round(avg(l_quantity) filter (l_returnflag = 'A'), 6) "A",
