@@ -17,6 +17,7 @@ from panelflow.functions.scalars import chi2_tail_even, label_below
 from panelflow.operators.clean import sample_per_key
 from panelflow.operators.profile import metric_report, moments_of, trend_label
 from panelflow.operators.regression import _full, fit_moments, moments, ols, residuals, solve_system
+from panelflow.plans.lagsums import lag_sums
 from panelflow.plans.series import BUCKET, POS, Series, frames, positions, scan
 from panelflow.session import materialised
 
@@ -287,29 +288,11 @@ def shapiro(df: DataFrame, keys: Sequence[str], value: str, ids: Sequence[str],
 
 
 def acf_wide(df: DataFrame, s: Series, value: str, nlags: int) -> DataFrame:
-    """n and the array of autocorrelations for lags 0..nlags, per key."""
-    keys = list(s.keys)
-    d = df.where(F.col(value).isNotNull())
-    mean = d.groupBy(*keys).agg(F.avg(value).alias("_m"))
-    keep = [c for c in (BUCKET,) if c in d.columns]
-    d = d.select(*keys, *s.order, value, *keep)
-
-    def lead(w):
-        return {f"_l{k}": F.lead(value, k).over(w) for k in range(1, nlags + 1)}
-
-    d = frames(d, s, lead, ahead=nlags).join(mean, keys)
-    m, x = F.col("_m"), F.col(value) - F.col("_m")
-    sums = [F.coalesce(F.sum(x * (F.col(f"_l{k}") - m)), F.lit(0.0)) for k in range(1, nlags + 1)]
-    g = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(x * x).alias("_c0"), F.array(*sums).alias("_c")
-    )
-    return g.select(
-        *keys, "n",
-        F.concat(
-            F.array(F.when(F.col("_c0") > 0, F.lit(1.0))),
-            F.transform("_c", lambda c: F.try_divide(c, F.col("_c0"))),
-        ).alias("acf"),
-    )
+    """n and the array of autocorrelations for lags 0..nlags, per key; NULL for a constant series."""
+    d = lag_sums(df, s, value, nlags)
+    zero = F.get("c", F.lit(0))
+    r = F.transform("c", lambda c: F.when(zero > 0, c / zero))
+    return d.select(*s.keys, "n", F.transform(r, lambda x, i: F.when(i == 0, F.when(zero > 0, F.lit(1.0))).otherwise(x)).alias("acf"))
 
 
 def acf(df: DataFrame, s: Series, value: str, nlags: int = 50) -> DataFrame:
