@@ -138,3 +138,34 @@ def test_estimator_contract(panel, tmp_path):
     b = [r["prediction"] for r in again.transform(panel).orderBy("k", "t").collect()]
     assert a == pytest.approx(b) and len(a) == panel.count()
     assert again.evaluate(panel).first()["n"] == 100
+
+
+def test_forest_on_points(spark):
+    """Of many rows a forest is fitted on weighted points: all rows count, and it predicts as the forest on the rows."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(6000, 2))
+    rows = [(float(a), float(int(b * 2)), float(3 * a + int(b * 2) + e)) for (a, b), e in zip(x, rng.normal(size=6000) / 10)]
+    d = spark.createDataFrame([*rows, (None, 0.0, 1.0), (0.5, float("nan"), 1.0)], "a double, b double, y double")
+    plain, folded = (ml.fit_forest(d, ["a", "b"], "y", points=p, numTrees=20, maxDepth=8) for p in (10_000, 1500))
+    assert len(folded.stages) == 3 and folded.stages[-1].getOrDefault("weightCol") == "weight"
+    one, two = (ml.score(f, d, "y").first() for f in (plain, folded))
+    assert one["n"] == two["n"] == 6000 and two["r2"] == pytest.approx(one["r2"], abs=0.02) and two["r2"] > 0.9
+    assert list(folded.stages[-1].featureImportances.toArray()) == pytest.approx(list(plain.stages[-1].featureImportances.toArray()), abs=0.05)
+
+
+def test_weighted_points(spark):
+    """The points keep the rows' numbers and sums, whatever their cell holds."""
+    rows = [(float(i % 3), float(i), i) for i in range(1000)] + [(7.0, 5.0, 5), (8.0, 1.0, 1), (8.0, 2.0, 2)]
+    d = spark.createDataFrame(rows, "c double, y double, id long")
+    p = ml.weighted_points(d, ["c"], ["id"], "y", 1003, 100)
+    assert p.count() <= 100 + 5
+    sums = p.groupBy("c").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("y")).alias("s"))
+    want = {r["c"]: (r["n"], r["s"]) for r in d.groupBy("c").agg(F.count("y").alias("n"), F.sum("y").alias("s")).collect()}
+    assert {r["c"]: (r["n"], pytest.approx(r["s"])) for r in sums.collect()} == want
+
+
+def test_bin_borders(spark):
+    d = spark.createDataFrame([(float(i % 4), float(i)) for i in range(5000)] + [(0.0, 0.0)] * 5000, "few double, many double")
+    few, many = ml.bin_borders(d, ["few", "many"])
+    assert few == [0.5, 1.5, 2.5] and 20 <= len(many) <= 31 and many == sorted(set(many))
+    assert ml.bin_borders(d.where("few = 1"), ["few"]) == [[1.0]]
