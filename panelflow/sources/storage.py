@@ -13,6 +13,10 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path)[0].getUri().getScheme() == "file"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, or a pattern names any."""
     fs, p = _fs(spark, path)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelflow.sources.storage import children, exists, publish
+from panelflow.sources.storage import children, exists, is_local, publish
 
 
 def next_name(taken, name: str) -> str:
@@ -34,6 +38,46 @@ def save_csv(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
+def _text_files(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        disk, top = fs.FileSystem.from_uri(folder)
+        at, out, written = None, None, 0
+
+        def close():
+            out.close()
+            disk.move(f"{top}/.{at}", f"{top}/{at}.txt")  # a task that runs twice leaves one whole file
+
+        for b in batches:
+            for name, value in zip(b.column(0), b.column(1), strict=True):
+                if (name := name.as_py()) != at:
+                    if out:
+                        close()
+                    at, out, written = name, disk.open_output_stream(f"{top}/.{name}"), written + 1
+                out.write((value.as_py() + "\n").encode("utf-8"))
+        if out:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["files"])
+
+    return run
+
+
+def save_texts(df: DataFrame, folder: str, by: str) -> int:
+    """One text file below the folder for each value of `by` (null is one too), a line for each row's `value` (null: empty); how many files.
+
+    Spark's writer makes a folder for each value. On a local disk every folder, file and checksum costs it a process, and a
+    listing reads folder by folder; so there the tasks write the files into one folder themselves.
+    """
+    if not is_local(df.sparkSession, folder):
+        df.repartition(by).write.partitionBy(by).text(folder)
+        return df.select(F.coalesce(F.col(by).cast("string"), F.lit(""))).distinct().count()
+    uri = folder if "://" in folder else f"file://{folder}" if folder.startswith("/") else folder
+    disk, top = fs.FileSystem.from_uri(uri)
+    disk.create_dir(top)
+    d = df.select(F.concat(F.lit(f"{by}-"), F.coalesce(F.col(by).cast("string"), F.lit("null"))).alias("name"), F.coalesce("value", F.lit("")))
+    d = d.repartition("name").sortWithinPartitions("name")
+    return d.mapInArrow(_text_files(uri), "files long").agg(F.sum("files")).first()[0] or 0
+
+
 def save_table(df: DataFrame, name: str) -> str:
     """Save as a catalog table under a free name; an empty frame is an error."""
     if df.isEmpty():

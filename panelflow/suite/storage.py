@@ -86,7 +86,7 @@ def s11(t):
     """One text file for fifty documents, a line each."""
     path, store = scratch_path(t.spark, "artifacts"), scratch_path(t.spark, "artifact-catalog")
     d = t.documents.select(F.concat_ws(" ", "doc_id", "lang", "source").alias("value"), F.floor(F.col("doc_id") / 50).alias("part"))
-    d.repartition("part").write.partitionBy("part").text(path)
+    writers.save_texts(d, path, "part")
     artifacts.sync_artifacts(t.spark, path, store)
     again = artifacts.sync_artifacts(t.spark, path, store)
     lines = F.sum(F.size(F.split("content", "\n")) - 1).alias("lines")

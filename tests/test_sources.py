@@ -212,3 +212,21 @@ def test_scalars(spark):
 def test_shared_dir_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert storage.children(spark, session.scratch_path(spark, "nothing")) == []
+
+
+def test_save_texts(spark, tmp_path):
+    """One flat file for each value, so that neither the writer nor a listing pays for a folder a file; the first sync scans the root."""
+    from unittest import mock
+
+    d = spark.createDataFrame([(i // 3, f"line {i} é") for i in range(100)] + [(None, "x"), (None, "y"), (1, None)], "part long, value string")
+    folder, store = str(tmp_path / "texts"), str(tmp_path / "catalog")
+    assert writers.save_texts(d, folder, "part") == 35
+    files = {p.name: p.read_text("utf-8") for p in (tmp_path / "texts").iterdir()}
+    assert len(files) == 35 and sorted(files["part-1.txt"].split("\n")) == ["", "", "line 3 é", "line 4 é", "line 5 é"]
+    assert sorted(files["part-null.txt"].split()) == ["x", "y"]
+    with mock.patch.object(artifacts, "with_contents", wraps=artifacts.with_contents) as seen:
+        assert artifacts.sync_artifacts(spark, folder, store) == 35 and seen.call_args.kwargs["whole"]
+        (tmp_path / "texts/more.txt").write_text("z")
+        assert artifacts.sync_artifacts(spark, folder, store) == 1 and not seen.call_args.kwargs["whole"]
+    assert artifacts.sync_artifacts(spark, folder, store) == 0
+    assert spark.read.parquet(store).count() == 36
