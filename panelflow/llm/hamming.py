@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelflow.llm.components import forest
 from panelflow.session import materialised
 
 
@@ -146,8 +147,7 @@ def hamming_links(
 ) -> DataFrame:
     """Links (src, dst) that join all fingerprints of `prints` (node, fp) within `radius` bits.
 
-    The links have the components of the full link graph, with at most one link per
-    fingerprint, key and tree. Nodes may have any type; fingerprints should be distinct.
+    The links have the components of the full link graph; those of a task are a forest. Nodes may have any type; fingerprints should be distinct.
     Every pair within `blocks - equal` bits is found; with a larger `radius`, also the pairs up
     to it that agree in `equal` blocks. Parts of a tree of at most `leaf` prints are compared directly.
     """
@@ -166,5 +166,5 @@ def hamming_links(
     return (
         rows.repartition("key", "tree")
         .sortWithinPartitions("key", "tree", "role")
-        .mapInArrow(_shard_links(radius, 4 * shard, leaf), f"src {node}, dst {node}")
+        .mapInArrow(forest(_shard_links(radius, 4 * shard, leaf)), f"src {node}, dst {node}")
     )

@@ -81,7 +81,7 @@ def near_duplicates(
     first = each.filter("id is not null").groupBy("fp").agg(F.min("id").alias("node"))
     prints = materialised(first.select("node", "fp"), "distinct-prints")
     links = hamming_links(prints, radius, blocks, blocks - radius, shard)
-    groups = connected_components(links)
+    groups = connected_components(links, forests=True)
     of_print = prints.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     return each.join(of_print, "fp", "left").select("id", "fp", "component")
 

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from panelflow.llm import bpe, decontam, simhash
+from panelflow.llm import bpe, components, decontam, simhash
 from panelflow.llm.components import connected_components
 from panelflow.llm.hamming import hamming_links
 from panelflow.llm.queries import QUERIES, VOCABULARY
@@ -117,3 +117,17 @@ def test_decontamination_edges(spark, odd):
         assert all(sum(e - s for s, e in zip(r.starts, r.ends)) == r.n_hit for r in rows)
     assert decontam.benchmark_hits(odd.limit(0), bench).count() == 0
     assert {r.n_hit for r in decontam.benchmark_hits(odd, bench.limit(0)).collect()} == {0}
+
+
+def test_links_need_one_python_worker(spark, odd, monkeypatch):
+    """The stage that makes links hands them to no second worker."""
+    plans = []
+    keep = components.materialised
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(components, "materialised", seen)
+    simhash.near_duplicates(odd).count()
+    assert plans and not any("MapInPandas" in p for p in plans) and plans[0].count("MapInArrow") == 1
