@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelflow.llm import lineblocks, lines, quality, secrets, substrings
+from panelflow.llm import components, edits, lineblocks, lines, quality, secrets, simhash, substrings
 from panelflow.llm.components import connected_components
 from panelflow.llm.queries import QUERIES
 from tests.llm import reference as ref
@@ -302,3 +302,90 @@ def test_blocks_join_lines(spark):
     blocks, mates = lines._shared(np.array([5, 6, 7]), texts)
     assert set(mates.to_pylist()[1]) == {5} and mates.to_pylist()[0] == mates.to_pylist()[2] == []
     assert set(blocks.to_pylist()[0]) == set(lineblocks.block_keys(texts[:1])[1].view(np.int64).tolist())
+
+
+def test_alignments_of_many_pairs(monkeypatch):
+    rng = random.Random(16)
+    pairs = []
+    for size in (0, 1, 40, 63, 64, 65, 130, 131, 132) * 60:
+        a = "".join(rng.choice("ab 日") for _ in range(size))
+        b = list(a)
+        for _ in range(rng.randrange(size // 3 + 2)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(3)] = rng.choice("abc")
+        pairs.append((a, "".join(b)))
+    want = [ref.levenshtein(a, b) for a, b in pairs]
+    alone = []
+    for many in (0, 10**6):
+        monkeypatch.setattr(edits, "MANY", many)
+        assert edits.distances(pairs, lambda i: alone.append(i) or want[i]).tolist() == want
+        assert bool(alone) == (many > 0)
+    monkeypatch.setattr(edits, "TABLE", 10_000)
+    monkeypatch.setattr(edits, "MANY", 0)
+    assert edits.distances(pairs, None).tolist() == want
+    assert edits.distances([], None).tolist() == []
+
+
+def test_changed_words_need_no_alignment(monkeypatch):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9)))
+    for _ in range(300):
+        a = [word() for _ in range(rng.randrange(1, 30))]
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(3)] = [word()]
+        a, b = " ".join(a), " ".join(b)
+        assert lines.word_bound(a, b, 10**6) >= ref.levenshtein(a, b)
+    monkeypatch.setattr(lines, "edit_distance", None)  # as any call of it fails
+    x = [word() + "xyz" for _ in range(60)]
+    for y in (x[:20] + ["other"] + x[21:], x[:30] + x[31:], x[:7] + ["more"] + x[7:50] + ["end"] + x[51:]):
+        assert lines.similar(" ".join(x), " ".join(y), 0.8) and lines.similar(" ".join(y), " ".join(x), 0.8)
+
+
+def test_waiting_pairs(spark, monkeypatch):
+    """Each pair of a group is compared once, and more than ALIGNED of them give the same links."""
+    rng = random.Random(18)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(12)]
+    near = ["".join(rng.choice("xyz") if rng.random() < 0.08 else c for c in rng.choice(texts)) for _ in range(60)]
+    all_ = [(bytes([i]), 0, t, False) for i, t in enumerate(texts + near)]
+    asked = []
+    settled = lines._settled
+    monkeypatch.setattr(lines, "_settled", lambda a, b, most: asked.append((a, b)) or settled(a, b, most))
+    got = []
+    for most in (lines.ALIGNED, 50):
+        monkeypatch.setattr(lines, "ALIGNED", most)
+        links, open_ = lines.verified_links(all_, all_, 22, 0.8)
+        links += lines.aligned(open_, 0.8)
+        pairs = {(a[0], b[0]) for a, b in links} | {(b[0], a[0]) for a, b in links}
+        got.append(ref.components(list(range(len(all_))), lambda a, b: (a, b) in pairs))  # noqa: B023
+    want = ref.components(list(range(len(all_))), lambda a, b: 5 * ref.levenshtein(all_[a][2], all_[b][2]) <= max(len(all_[a][2]), len(all_[b][2])))
+    assert got == [want, want] and len(asked) <= len(all_) * (len(all_) - 1)
+
+
+def test_blocks_travel_in_runs(spark):
+    rng = random.Random(19)
+    rows = [(i, [rng.getrandbits(63) - 2**62 for _ in range(10)]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "node bigint, blocks array<bigint>").coalesce(1)
+    runs = df.mapInArrow(lines._runs, "run int, keys array<bigint>, nodes array<bigint>").collect()
+    assert len(runs) <= 1 << lines.RUN_BITS
+    assert sorted((n, k) for r in runs for k, n in zip(r["keys"], r.nodes, strict=True)) == sorted((i, k) for i, b in rows for k in b)
+    assert all((k % 2**64) >> (64 - lines.RUN_BITS) == r.run for r in runs for k in r["keys"])
+
+
+def test_one_python_worker_a_task(spark, odd, monkeypatch):  # noqa: F811
+    """No stage that makes links hands them to a second worker."""
+    plans = []
+    keep = components.materialised
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(components, "materialised", seen)
+    simhash.near_duplicates(odd).count()
+    lines.removed_lines(odd).count()
+    assert plans and not any("MapInPandas" in p for p in plans)
+    for p in plans:  # below each worker comes an exchange, a union's branch or a table before the next one
+        steps = [x for x in p.split("\n") if any(s in x for s in ("MapInArrow", "Exchange", "Scan", "Union"))]
+        assert not any("MapInArrow" in a and "MapInArrow" in b for a, b in zip(steps, steps[1:], strict=False))
