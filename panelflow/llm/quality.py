@@ -194,11 +194,11 @@ def mcd(rows: DataFrame, share: float = 0.75, least_gain: float = 1e-3, steps: i
     with the smaller determinant is returned, with `converged` telling whether it was done in time.
     """
     keys = ["grp", "start"]
-    rough = rows
-    for k, x in enumerate(Q):
-        q = histogram_limits(rows, ["grp"], F.floor(F.col(x) * 64), [0.25, 0.5, 0.75])
-        q = q.select("grp", (F.col("q_1") / 64).alias(f"mid_{k}"), ((F.col("q_2") - F.col("q_0")) / 64).alias(f"iqr_{k}"))
-        rough = rough.join(q, "grp")
+    each = rows.select("grp", F.posexplode(F.array(*Q)).alias("of", "x"))
+    q = histogram_limits(each, ["grp", "of"], F.floor(F.col("x") * 64), [0.25, 0.5, 0.75])
+    mid, iqr = F.col("q_1") / 64, (F.col("q_2") - F.col("q_0")) / 64
+    q = q.groupBy("grp").agg(*(F.max(F.when(F.col("of") == k, x)).alias(f"{n}_{k}") for k in range(P) for n, x in (("mid", mid), ("iqr", iqr))))
+    rough = rows.join(materialised(q, "quartiles"), "grp")
     far = reduce(
         lambda a, k: a + F.pow((F.col(Q[k]) - F.col(f"mid_{k}")) / F.greatest(F.col(f"iqr_{k}"), F.lit(PARTS[Q[k]])), F.lit(2)),
         range(P),
