@@ -344,7 +344,7 @@ def test_changed_words_need_no_alignment(monkeypatch):
 
 
 def test_waiting_pairs(spark, monkeypatch):
-    """Each pair of a group is compared once, and more than ALIGNED of them give the same links."""
+    """Each pair of a group is compared once, and alignments by turns give the same links."""
     rng = random.Random(18)
     texts = ["".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(12)]
     near = ["".join(rng.choice("xyz") if rng.random() < 0.08 else c for c in rng.choice(texts)) for _ in range(60)]
