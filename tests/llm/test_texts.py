@@ -389,3 +389,51 @@ def test_one_python_worker_a_task(spark, odd, monkeypatch):  # noqa: F811
     for p in plans:  # below each worker comes an exchange, a union's branch or a table before the next one
         steps = [x for x in p.split("\n") if any(s in x for s in ("MapInArrow", "Exchange", "Scan", "Union"))]
         assert not any("MapInArrow" in a and "MapInArrow" in b for a, b in zip(steps, steps[1:], strict=False))
+
+
+def test_unlike_pairs_end_early():
+    """Distances within a limit: a pair far apart is left after about as many steps as the limit, not at its texts' end."""
+
+    class Counted(str):
+        steps = 0
+
+        def __iter__(self):
+            for c in str.__iter__(self):
+                Counted.steps += 1
+                yield c
+
+    a, b = "abcd" * 500, Counted("wxyz" * 500)
+    assert edits.edit_distance(a, b, 400) == 401 and Counted.steps <= 402
+    rng = random.Random(18)
+    pairs = []
+    for size in (1, 2, 30, 63, 64, 65, 130, 200) * 40:
+        x = "".join(rng.choice("abc 日") for _ in range(size))
+        y = list(x) if rng.random() < 0.7 else [rng.choice("abc 日") for _ in range(size + rng.randrange(4))]
+        for _ in range(rng.randrange(size // 3 + 2)):
+            at = rng.randrange(len(y) + 1)
+            y[at : at + rng.randrange(3)] = rng.choice("abc")
+        pairs.append((x, "".join(y)))
+    want = np.array([ref.levenshtein(x, y) for x, y in pairs])
+    for share in (0.0, 0.1, 0.2, 0.6):
+        most = np.array([int(share * max(len(x), len(y))) for x, y in pairs])
+        alone = np.array([edits.edit_distance(x, y, int(k)) for (x, y), k in zip(pairs, most, strict=True)])
+        assert alone.tolist() == np.minimum(want, most + 1).tolist()
+        found = edits.distances(pairs * 30, None, np.tile(most, 30)).reshape(30, -1)
+        assert ((found == want) | ((found > most) & (want > most))).all()
+
+
+def test_letters_bound_the_distance():
+    rng = random.Random(19)
+    texts = ["".join(rng.choice("abc dé日") for _ in range(rng.randrange(1, 30))) for _ in range(300)] + ["a" * 900, "b" * 700 + "a"]
+    counts = lines.letter_counts(texts)
+    for i, (a, b) in enumerate(zip(texts, texts[1:], strict=False)):
+        assert lines.letter_bound(counts[i], counts[i + 1]) <= ref.levenshtein(a, b)
+    assert lines.letter_bound(*lines.letter_counts(["abcabc", "xyzxyz"])) == 6
+
+
+def test_words_of_lines():
+    """ASCII around letters of any script, white space of Unicode, numbers, and lines that have no word."""
+    text = "Été, (déjà) vu!\n\n x_y 12th 3.5\u2003«ça»\r\nΣΑΣ\x1cA-b\n---\nİı ² ٣٤"
+    for whole in (text, text + "\n" + "plain words, only. " * 3):
+        want = [" ".join(lines.WORD.findall(lines.NUMBER.sub("0", x))).split() for x in whole.lower().split("\n")]
+        assert list(lines._lines_words(whole.lower())) == want
